@@ -14,7 +14,8 @@ as those few against all, in blocks; other large nodes branch on, up to `DEPTH`,
 compared in blocks, too. What the sketches find is handed on as spanning trees, not as all pairs; their
 components are families of texts that may be linked. A family's texts come together (large ones in pairs of
 blocks), all its pairs across components that the sketches allow are decided by exact intersections of full
-shingle sets, and the links that join something are kept. Components are found by label passing.
+shingle sets, and the links that join something are kept. Components are found by
+moving keys along their links.
 
 Defined results: null or wordless texts have an empty set and are linked with nothing; repeated rows and equal
 texts share a component; rows without an id take the component of their class, but lend it no id (null where
@@ -36,6 +37,8 @@ COORDINATES = 128
 TREES = 8
 #: Members of a node that are compared exhaustively.
 SMALL = 512
+#: Members outside a large node's largest component up to which they are compared with all.
+OTHERS = 2048
 DEPTH = 10
 #: Members of a node above which its hub is chosen by majority.
 CENTRAL = 8
@@ -205,7 +208,7 @@ def allowed(s1: np.ndarray, s2: np.ndarray, root: np.ndarray, most: int) -> np.n
 
 def _compare(most: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["node", "tile"], kind="stable")
+        pdf = pdf.sort_values(["node", "tile", "key"])
         key, root = pdf["key"].to_numpy(), pdf["root"].to_numpy()
         s1, s2 = pdf["s1"].to_numpy().view(np.uint64), pdf["s2"].to_numpy().view(np.uint64)
         found = [(np.zeros(0, np.int64),) * 2]
@@ -219,7 +222,7 @@ def _compare(most: int):
 
 
 def compare_nodes(rows: DataFrame, most: int) -> DataFrame:
-    """a, b: spanning trees of what the sketches allow in small nodes. rows: node, tile, key, s1, s2, root; at most about 2 * SMALL rows a (node, tile)."""
+    """a, b: spanning trees of what the sketches allow in small nodes. rows: node, tile, key, s1, s2, root; at most about SMALL + OTHERS rows a (node, tile)."""
     buckets = max(1, rows.count() // BUCKET)
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("node", "tile"), F.lit(buckets)).cast("int"))
     return dealt.groupBy("bucket").applyInPandas(_compare(most), "a long, b long")
@@ -249,7 +252,7 @@ def _settle(k: int, similarity: float, most: int):
     whole = round(similarity * 100)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["family", "tile"], kind="stable")
+        pdf = pdf.sort_values(["family", "tile", "key"])
         key, root = pdf["key"].to_numpy(), pdf["root"].to_numpy()
         s1, s2 = pdf["s1"].to_numpy().view(np.uint64), pdf["s2"].to_numpy().view(np.uint64)
         found = [(np.zeros(0, np.int64),) * 2]
@@ -337,18 +340,29 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, simil
 
 
 def components(links: DataFrame) -> DataFrame:
-    """key, root (smallest key of its component) for every end of a link: label passing with pointer jumps, a table a round."""
-    edges = links.select("a", "b").union(links.select("b", "a"))
-    labels = materialize(edges.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.col("key")).alias("root")), "labels")
-    while True:
-        seen = edges.join(labels.select(F.col("key").alias("b"), F.col("root").alias("far")), "b").groupBy(F.col("a").alias("key")).agg(F.min("far").alias("far"))
-        low = labels.join(seen, "key").select("key", "root", F.least("root", "far").alias("low"))
-        jump = labels.select(F.col("key").alias("low"), F.col("root").alias("next"))
-        step = materialize(low.join(jump, "low").select("key", "root", F.least("low", "next").alias("new")), "labels")
-        changed = step.where("new <> root").limit(1).count()
-        labels = step.select("key", F.col("new").alias("root"))
-        if not changed:
-            return labels
+    """key, root (smallest key of its component) for every end of a link.
+
+    Every key moves to its smallest neighbour and the links move along; what is left of them shrinks from round
+    to round until none joins two keys. A table a round cuts the lineage.
+    """
+
+    def between(edges: DataFrame) -> DataFrame:
+        low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        return materialize(edges.where("a <> b").select(low, high).distinct(), "between")
+
+    edges = between(links)
+    labels = edges.select(F.explode(F.array("a", "b")).alias("key")).distinct().withColumn("root", F.col("key"))
+    while not edges.isEmpty():
+        ends = edges.groupBy(F.col("b").alias("from")).agg(F.min("a").alias("to"))
+        step = materialize(ends, "step")
+        labels = moved(labels, "root", step)
+        edges = between(moved(moved(edges, "a", step), "b", step))
+    return materialize(labels, "labels")
+
+
+def moved(rows: DataFrame, column: str, step: DataFrame) -> DataFrame:
+    """rows with the column's keys moved by one step."""
+    return rows.join(step, rows[column] == step["from"], "left").withColumn(column, F.coalesce("to", column)).drop("from", "to")
 
 
 def rooted(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -409,9 +423,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     pairs = []
     for depth in range(DEPTH + 1):
         small = left.where(F.col("size") <= SMALL).withColumn("tile", F.lit(0).cast("long"))
-        few = against(left.where((F.col("size") > SMALL) & (F.col("others") <= SMALL)))
+        few = against(left.where((F.col("size") > SMALL) & (F.col("others") <= OTHERS)))
         pairs.append(compare_nodes(small.unionByName(few), most))
-        large = left.where((F.col("size") > SMALL) & (F.col("others") > SMALL))
+        large = left.where((F.col("size") > SMALL) & (F.col("others") > OTHERS))
         if large.isEmpty():
             break
         if depth == DEPTH:
