@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Abramowitz and Stegun 7.1.26
@@ -29,27 +29,31 @@ def pdf(x: Column) -> Column:
     return F.exp(-0.5 * x * x) / math.sqrt(2 * math.pi)
 
 
-def black_scholes(spot: Column, strike: Column, years: Column, vol: Column, call: Column, rate: float = 0.05) -> dict[str, Column]:
-    """price, delta, gamma, theta (a day), vega and rho (a point), lambda."""
-    t = F.greatest(years, F.lit(FLOOR))
-    root = vol * F.sqrt(t)
-    d1 = (F.log(spot / strike) + (rate + vol * vol / 2) * t) / root
-    d2 = d1 - root
-    back = strike * F.exp(-rate * t)
-    price = F.when(call, spot * cdf(d1) - back * cdf(d2)).otherwise(back * cdf(-d2) - spot * cdf(-d1))
-    delta = F.when(call, cdf(d1)).otherwise(cdf(d1) - 1)
-    decay = -spot * pdf(d1) * vol / (2 * F.sqrt(t))
-    theta = (decay + F.when(call, -rate * back * cdf(d2)).otherwise(rate * back * cdf(-d2))) / 365
-    rho = F.when(call, back * t * cdf(d2)).otherwise(-back * t * cdf(-d2)) / 100
-    return {
-        "price": price,
-        "delta": delta,
-        "gamma": pdf(d1) / (spot * root),
-        "theta": theta,
-        "vega": spot * pdf(d1) * F.sqrt(t) / 100,
-        "rho": rho,
-        "lambda": F.when(price > 0, delta * spot / price),
-    }
+def black_scholes(df: DataFrame, spot: Column, strike: Column, years: Column, vol: Column, call: Column, rate: float = 0.05) -> DataFrame:
+    """df with price, delta, gamma, theta (a day), vega and rho (a point) and lambda.
+
+    Shared terms are columns of their own for a while, so that each is computed once and the generated code stays small.
+    """
+    df = df.withColumns({"_s": spot, "_k": strike, "_t": F.greatest(years, F.lit(FLOOR)), "_v": vol, "_c": call})
+    s, k, t, v, c = (F.col(f"_{x}") for x in "sktvc")
+    df = df.withColumns({"_d1": (F.log(s / k) + (rate + v * v / 2) * t) / (v * F.sqrt(t)), "_b": k * F.exp(-rate * t)})
+    d1 = F.col("_d1")
+    df = df.withColumns({"_d2": d1 - v * F.sqrt(t), "_n": pdf(d1), "_c1": cdf(d1), "_m1": cdf(-d1)})
+    df = df.withColumns({"_c2": cdf(F.col("_d2")), "_m2": cdf(-F.col("_d2"))})
+    b, n, c1, m1, c2, m2 = (F.col(f"_{x}") for x in ("b", "n", "c1", "m1", "c2", "m2"))
+    df = df.withColumns({"price": F.when(c, s * c1 - b * c2).otherwise(b * m2 - s * m1), "delta": F.when(c, c1).otherwise(c1 - 1)})
+    return df.withColumns(
+        {
+            "gamma": n / (s * v * F.sqrt(t)),
+            "theta": (-s * n * v / (2 * F.sqrt(t)) + F.when(c, -rate * b * c2).otherwise(rate * b * m2)) / 365,
+            "vega": s * n * F.sqrt(t) / 100,
+            "rho": F.when(c, b * t * c2).otherwise(-b * t * m2) / 100,
+            "lambda": F.when(F.col("price") > 0, F.col("delta") * s / F.col("price")),
+        }
+    ).drop(*TERMS)
+
+
+TERMS = ("_s", "_k", "_t", "_v", "_c", "_d1", "_b", "_d2", "_n", "_c1", "_m1", "_c2", "_m2")
 
 
 def smile(spot: Column, strike: Column, years: Column, base: Column, skew: float = -0.1, curve: float = 0.1) -> Column:
