@@ -214,11 +214,11 @@ def redact(docs: DataFrame, broadcast_rows: int, id_col: str = "doc_id", text_co
     """docs with all spans masked and chars_col, if there, the new length. Texts without spans (and null ones) stay as they are."""
     hashed = docs.withColumn("_hash", F.xxhash64(text_col))
     found = extract(hashed.withColumn("_key", F.struct(F.col(id_col).alias("id"), "_hash")), id_col="_key", text_col=text_col)
-    few = materialize(found.where(F.size("spans") > 0).select(F.col("_key.id").alias("_id"), F.col("_key._hash").alias("_own"), "spans").dropDuplicates(["_id", "_own"]), "pii-spans")
+    few = materialize(found.where(F.size("spans") > 0).select(F.col("_key.id").alias("_id"), F.col("_key._hash").alias("_own"), F.col("spans").alias("_spans")).dropDuplicates(["_id", "_own"]), "pii-spans")
     few = F.broadcast(few) if few.count() <= broadcast_rows else few
     joined = hashed.join(few, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_own")), "left")
-    text = F.when(F.col("spans").isNull(), F.col(text_col)).otherwise(masked(F.col(text_col), F.col("spans")))
+    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(masked(F.col(text_col), F.col("_spans")))
     out = joined.withColumn(text_col, text)
     if chars_col in docs.columns:
-        out = out.withColumn(chars_col, F.when(F.col("spans").isNull(), F.col(chars_col)).otherwise(F.length(text_col).cast("long")))
+        out = out.withColumn(chars_col, F.when(F.col("_spans").isNull(), F.col(chars_col)).otherwise(F.length(text_col).cast("long")))
     return out.select(*docs.columns)

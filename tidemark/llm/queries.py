@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, near_dedup, packing, pii, rule_ensemble, sharding, token_counts, topk, toxicity, url_reputation
+from tidemark.llm import decontamination, near_dedup, oracles, packing, pii, rule_ensemble, sharding, token_counts, topk, toxicity, url_reputation
 from tidemark.llm.common import materialize, small_batches, table
 from tidemark.llm.tokens import token_counter
 
@@ -101,4 +101,9 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_quality_rules, op4_topk, op5_pii, op6_toxicity, op7_decontamination, op8_url_reputation, op9_sharding, op10_near_dedup)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_topk": oracles.TOP_K,
+    "op7_decontamination": oracles.DECONTAMINATION,
+    "op8_url_reputation": oracles.url_reputation(URL_RULES),
+    "op10_near_dedup": oracles.NEAR_DEDUP,
+}
