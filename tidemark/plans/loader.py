@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.align import attach_daily, outer, prefixed
-from tidemark.operators.bars import resample_ohlc
+from tidemark.operators.bars import daily_last, resample_ohlc
 from tidemark.operators.lag import feature_lag, session_lag
 from tidemark.operators.rules import apply_rules
+from tidemark.plans import regime
 from tidemark.sources.cache import ResultCache
 from tidemark.sources.catalog import DEFAULT, Catalog
-from tidemark.sources.scan import Request, as_date, column, date_range, index_kind, ordered, project, scan, upcast, with_dte
+from tidemark.sources.scan import ORDINAL, Request, as_date, column, date_range, index_kind, ordered, project, scan, upcast, with_dte
 from tidemark.sources.store import Store
 
+#: Rules for which the order of a file's rows counts.
+TIES = ("filter_duplicate_timestamps", "ffill_zero_close")
 ALIGNED = ("spx_ohlc", "vix_ohlc", "vvix_ohlc", "vol_regime")
 
 
@@ -35,10 +38,10 @@ class Loader:
         key = request.fingerprint(self.catalog.fingerprint(), self.store.snapshot(d.name)) if self.cache else None
         if key and (hit := self.cache.get(key)) is not None:
             return upcast(hit) if floats64 else hit
-        df = scan(self.spark, self.top, d, request)
+        ties = clean and any(r.name in TIES for r in d.rules)
+        df = scan(self.spark, self.top, d, request, ordinal=ties)
         if clean:
-            order = tuple(c for c in ("_metadata",) if c in df.columns)
-            df = apply_rules(df, d.rules, order)
+            df = apply_rules(df, d.rules, ORDINAL if ties else ()).drop(*ORDINAL)
         if resample:
             df = resample_ohlc(df, resample)
         df = project(df, columns)
@@ -110,3 +113,13 @@ def enforce(df: DataFrame, index: str, cutoff: dt.date) -> DataFrame:
     if index_kind(df, index) == "date":
         return df.where(column(df, index) <= F.lit(cutoff))
     return df.where(column(df, index) < F.lit(dt.datetime.combine(cutoff + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz"))
+
+
+def store_regime(loader: Loader, x: str = "vix_ohlc", y: str = "vvix_ohlc", name: str = "vol_regime") -> int:
+    """Build the daily regime from all stored closes, as they were stored, and write it. Rows written."""
+    whole = (dt.date(1900, 1, 1), dt.date(2199, 12, 31))
+    last = lambda n, c: daily_last(loader.load(n, whole, clean=False, sort=False), "close").withColumnRenamed("close", c)
+    rows = regime.build(last(x, "vix").join(last(y, "vvix"), "date"))
+    d = loader.catalog.get(name)
+    rows.select(*d.columns).coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(f"{loader.top}/{d.store_path}")
+    return loader.spark.read.parquet(f"{loader.top}/{d.store_path}").count()

@@ -161,7 +161,7 @@ def check_open_interest(df: DataFrame, name: str = "open_interest") -> DataFrame
 
 def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     """file, rows of every readable Parquet file."""
-    df = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).parquet(path)
+    df = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).schema("_ int").parquet(path)
     return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -183,6 +183,13 @@ def check_coverage(df: DataFrame, calendar: DataFrame, index: str = "timestamp")
     return verdict("coverage", F.lit(False), share(F.col("present"), F.col("expected")) < 0.7, counts_text("expected", "present"), coverage(df, calendar, index))
 
 
+def check_sessions(spark: SparkSession, source: list, stored: list, least: int = 0) -> DataFrame:
+    """Sessions of the source that the store lacks (FAIL), and fewer stored than `least` (WARN)."""
+    missing = sorted(set(source) - set(stored))
+    status = "FAIL" if missing else "WARN" if len(stored) < least else "PASS"
+    return spark.createDataFrame([("sessions", status, f"stored={len(stored)}, missing={len(missing)}")], REPORT)
+
+
 def report(checks: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), checks)
 

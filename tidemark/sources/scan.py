@@ -124,11 +124,18 @@ def in_months(df: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     return df.where(month.between(start.year * 100 + start.month, end.year * 100 + end.month))
 
 
-def scan(spark: SparkSession, top: str, dataset: Dataset, request: Request) -> DataFrame:
+#: A row's place in the store, where ties of the index are to be broken by it.
+ORDINAL = ("_file", "_row")
+
+
+def scan(spark: SparkSession, top: str, dataset: Dataset, request: Request, ordinal: bool = False) -> DataFrame:
     """Rows of a stored dataset in a range of dates. Columns are projected by project(), after the rules that may need others."""
     schema = T.StructType([*dataset.schema.fields, *[T.StructField(p, T.IntegerType()) for p in dataset.partitions]])
-    have = spark.read.parquet(f"{top}/{dataset.root}").columns
-    df = spark.read.schema(T.StructType([f for f in schema.fields if f.name in have])).parquet(f"{top}/{dataset.root}")
+    path = f"{top}/{dataset.store_path if dataset.single_file else dataset.root}"
+    have = spark.read.parquet(path).columns
+    df = spark.read.schema(T.StructType([f for f in schema.fields if f.name in have])).parquet(path)
+    if ordinal:
+        df = df.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
     df = in_months(df, request.start, request.end).where(between(df, dataset.index, request.start, request.end))
     return where_all(df, request.filters)
 

@@ -157,7 +157,7 @@ def split_sessions(df: DataFrame, index: str | None = None) -> DataFrame:
 
 
 def write_sessions(df: DataFrame, path: str, dry_run: bool = False) -> dict[str, int]:
-    """One partition a session, dealt by session and salted by nothing: a session is a day of one dataset. Counts by session."""
+    """One partition a session; a session is a day of one dataset. Counts by session."""
     rows = split_sessions(df)
     counts = {str(r["session"]): r["count"] for r in rows.groupBy("session").count().collect()}  # a row a day
     if not dry_run:
