@@ -173,5 +173,6 @@ def with_dte(df: DataFrame, index: str = "timestamp", close: str = "16:00:00") -
 def expiry_day(c: Column, kind: T.DataType) -> Column:
     """The date of an expiry held as text (YYYY-MM-DD at its start), date or timestamp; null where it is none."""
     if isinstance(kind, T.StringType):
-        return F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd")
+        day = F.substring(c, 1, 10)  # a cast is far cheaper than a pattern, but takes shorter forms too
+        return F.when((F.length(day) == 10) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-"), day.try_cast("date"))
     return c.cast("date")
