@@ -258,20 +258,29 @@ _REGIME = (
 )
 
 
-def _regime(name: str, sql: str, *columns):
-    _named(name, _REGIME + f"SELECT {sql} FROM f", ["daily"], lambda spark, d: regime.build(views.daily(spark, d)).select(*columns))
-
-
-_r4 = lambda c: F.round(F.col(c).cast("double"), 4).alias(c)
-_s4 = lambda c: f"round(CAST({c} AS DOUBLE), 4) AS {c}"
-_regime("rolling_pct_rank", "date, vix_pct_252, vvix_pct_252, vov_ratio_pct_252", "date", "vix_pct_252", "vvix_pct_252", "vov_ratio_pct_252")
-_regime("rolling_zscore", "date, " + ", ".join(map(_s4, ("vix_z_20", "vvix_z_20", "vov_z_20"))), "date", *map(_r4, ("vix_z_20", "vvix_z_20", "vov_z_20")))
-_regime("regime_labels", "date, vix_regime, vvix_regime, vov_regime", "date", "vix_regime", "vvix_regime", "vov_regime")
-_regime("regime_score", "date, regime_score", "date", "regime_score")
-_regime("regime_2x2", "date, regime_2x2", "date", "regime_2x2")
-_regime("desk_bucket", "date, desk_bucket", "date", "desk_bucket")
-_FULL = ("vix_pct_252", "vvix_pct_252", "vov_ratio_pct_252", "vix_regime", "vvix_regime", "vov_regime", "regime_score", "regime_2x2", "desk_bucket")
-_regime("regime_full", "date, " + ", ".join([*map(_s4, ("vix_z_20", "vvix_z_20", "vov_z_20")), *_FULL]), "date", *map(_r4, ("vix_z_20", "vvix_z_20", "vov_z_20")), *_FULL)
+_SCORES = ("vix_z_20", "vvix_z_20", "vov_z_20")
+
+
+def _regime(name: str, *columns: str):
+    """A query of some of the regime's columns; z-scores are rounded."""
+    sql = ", ".join(f"round(CAST({c} AS DOUBLE), 4) AS {c}" if c in _SCORES else c for c in columns)
+
+    def run(spark, d):
+        rounded = [F.round(F.col(c).cast("double"), 4).alias(c) if c in _SCORES else F.col(c) for c in columns]
+        return regime.build(views.daily(spark, d)).select(*rounded)
+
+    _named(name, _REGIME + f"SELECT {sql} FROM f", ["daily"], run)
+
+
+_SHARES = ("vix_pct_252", "vvix_pct_252", "vov_ratio_pct_252")
+_LABELS = ("vix_regime", "vvix_regime", "vov_regime")
+_regime("rolling_pct_rank", "date", *_SHARES)
+_regime("rolling_zscore", "date", *_SCORES)
+_regime("regime_labels", "date", *_LABELS)
+_regime("regime_score", "date", "regime_score")
+_regime("regime_2x2", "date", "regime_2x2")
+_regime("desk_bucket", "date", "desk_bucket")
+_regime("regime_full", "date", *_SCORES, *_SHARES, *_LABELS, "regime_score", "regime_2x2", "desk_bucket")
 
 
 @query("SELECT date, round((rank() OVER (ORDER BY vix) + (count(*) OVER (PARTITION BY vix) - 1) / 2.0e0) / count(*) OVER (), 8) AS share, round(coalesce((vix - avg(vix) OVER ()) / nullif(stddev_samp(vix) OVER (), 0), 0), 6) AS z FROM daily", "daily")
