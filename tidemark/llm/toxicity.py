@@ -23,6 +23,7 @@ ways or null are not learnt from; without labels of both kinds the score is the
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -73,22 +74,28 @@ def _families(frames):
 
 
 def _count(frames):
-    counts: dict[tuple, int] = {}
+    counts: dict[tuple[int, int], Counter] = {}
+    memo: dict[bytes, list[str]] = {}
     for pdf in frames:
         for text, toxic, half in zip(pdf["text"], pdf["toxic"], pdf["half"]):
-            own = {e for w in set(words(text)) for e in expressions(w.decode("utf-8", "replace"))}
-            for e in own:
-                key = (e, toxic, half)
-                counts[key] = counts.get(key, 0) + 1
-            if len(counts) >= HELD:
-                yield _counted(counts)
+            own: set[str] = set()
+            for w in set(words(text)):
+                if w not in memo:
+                    memo[w] = expressions(w.decode("utf-8", "replace"))
+                own.update(memo[w])
+            counts.setdefault((toxic, half), Counter()).update(own)
+            if sum(map(len, counts.values())) >= HELD:
+                yield from _counted(counts)
                 counts = {}
-    if counts:
-        yield _counted(counts)
+        if len(memo) > MEMO:
+            memo.clear()
+    yield from _counted(counts)
 
 
-def _counted(counts: dict) -> pd.DataFrame:
-    return pd.DataFrame({"e": [k[0] for k in counts], "toxic": [k[1] for k in counts], "half": [k[2] for k in counts], "n": list(counts.values())})
+def _counted(counts: dict):
+    for (toxic, half), c in counts.items():
+        if c:
+            yield pd.DataFrame({"e": list(c), "toxic": toxic, "half": half, "n": list(c.values())})
 
 
 def expression_counts(docs: DataFrame) -> DataFrame:
@@ -130,6 +137,7 @@ class Ratios:
 
     def __init__(self, table: dict[str, float]):
         self.table, self.memo = table, {}
+        self.heads = {e.removesuffix("$")[:3] for e in table}  # what no expression begins with weighs nothing
 
     def of(self, flat: list[bytes]) -> np.ndarray:
         memo, table = self.memo, self.table
@@ -137,8 +145,10 @@ class Ratios:
         if len(memo) + len(new) > MEMO:
             memo.clear()
             new = list(dict.fromkeys(flat))
+        heads = self.heads
         for w in new:
-            memo[w] = next((table[e] for e in expressions(w.decode("utf-8", "replace")) if e in table), 0.0)
+            word = w.decode("utf-8", "replace")
+            memo[w] = next((table[e] for e in expressions(word) if e in table), 0.0) if word[:3] in heads else 0.0
         return np.fromiter(map(memo.__getitem__, flat), np.float64, len(flat))
 
 
