@@ -37,7 +37,8 @@ def test_ingest_again_skips(spark, top):
     s = stores.Store(spark, f"{top}/raw", top, DEFAULT)
     assert s.ingest("td_spx_ohlc")["skipped"] == 3
     assert s.ingest("spx_ohlc", [dt.date(2030, 1, 1)])["skipped"] == 1
-    assert s.ingest("vol_regime")["errors"] == 1
+    assert stores.Store(spark, f"{top}/none", top, DEFAULT).ingest("vol_regime")["errors"] == 1
+    assert s.ingest("vol_regime")["ingested"] == s.ingest("vol_regime")["ingested"] == 1
     assert s.dates("spx_ohlc") == s.available("spx_ohlc") == [D2, D3, D4]
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, pricing
-from tidemark.operators.bars import bars_from_path
+from tidemark.operators.bars import bars_from_path, daily_last
+from tidemark.plans import regime
 
 
 @dataclass(frozen=True)
@@ -80,20 +81,41 @@ def chain(path: DataFrame, spec: Spec) -> DataFrame:
     )
 
 
+def demo_regime(daily: DataFrame) -> DataFrame:
+    """A regime for demonstrations, over the whole series instead of rolling windows; its cut-offs and buckets differ from regime.build().
+
+    daily: date, vix, vvix, a row a date, so windows over all rows are small.
+    """
+    df = daily.withColumn("vov_ratio", F.try_divide(F.col("vvix"), F.col("vix")))
+    short = {"vix": "vix", "vvix": "vvix", "vov_ratio": "vov"}
+    shares = {c: F.col(f"{c}_pct_252") for c in short}
+    df = df.withColumns({f"{c}_pct_252": regime.rank_average(F.col(c)) for c in short} | {f"{n}_z_20": regime.z_all(F.col(c)) for c, n in short.items()})
+    bands = lambda p: F.when(p < 0.25, "low").when(p < 0.75, "mid").when(p < 0.95, "high").otherwise("extreme")
+    points = F.floor(shares["vix"] * 3) + F.floor(shares["vvix"] * 3)
+    side = lambda c: F.concat(F.when(shares[c] >= 0.5, "hi").otherwise("lo"), F.lit(c.upper()))
+    return df.withColumns(
+        {f"{n}_regime": bands(shares[c]) for c, n in short.items()}
+        | {"regime_score": points.cast("tinyint"), "regime_2x2": F.concat_ws("/", side("vix"), side("vvix")), "desk_bucket": F.when(points >= 4, "defensive").when(points >= 2, "neutral").otherwise("carry")}
+    )
+
+
 def write_feed(spark: SparkSession, raw: str, spec: Spec = Spec()) -> int:
-    """Raw files of three indices and a same-day chain, one a session. Sessions written."""
+    """Raw files of three indices and a same-day chain, one a session, and the daily regime as CSV. Sessions written."""
     days = [r[0] for r in dates.business_days(spark, spec.start, spec.end).collect()]
     grid = dates.minute_grid(dates.business_days(spark, spec.start, spec.end))
     spot = gbm(grid, spec.spot, spec.vol, spec.seed)
+    vix, vvix = mean_reverting(grid, 14.0, 0.01, 0.05, spec.seed + 1), mean_reverting(grid, 85.0, 0.01, 0.3, spec.seed + 2)
     frames = {
         "index/spx": index_bars(spot),
-        "index/vix": stale(index_bars(mean_reverting(grid, 14.0, 0.01, 0.05, spec.seed + 1))),
-        "index/vvix": index_bars(mean_reverting(grid, 85.0, 0.01, 0.3, spec.seed + 2)),
+        "index/vix": stale(index_bars(vix)),
+        "index/vvix": index_bars(vvix),
         "options/greeks/0dte": chain(spot, spec),
     }
     for folder, df in frames.items():
         for day in days:
             df.where(F.col("date") == F.lit(day)).drop("date").coalesce(1).write.mode("overwrite").parquet(f"{raw}/{folder}/{day:%Y%m%d}.parquet")
+    last = lambda path, name: daily_last(path, "value").withColumnRenamed("value", name)
+    demo_regime(last(vix, "vix").join(last(vvix, "vvix"), "date")).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{raw}/vol_regime_daily.csv")
     return len(days)
 
 

@@ -13,7 +13,7 @@ from tidemark.functions import dates, pricing
 from tidemark.operators import bars, lag
 from tidemark.operators.align import attach_daily, outer, prefixed
 from tidemark.operators.rules import apply_rules, forward_fill, rules_of
-from tidemark.plans import quality, regime, views
+from tidemark.plans import quality, regime, synthetic, views
 from tidemark.plans.loader import enforce
 from tidemark.sources import scan, store
 
@@ -289,6 +289,27 @@ def rank_average_and_z(spark, d):
     return df.select("date", F.round(regime.rank_average(F.col("vix")), 8).alias("share"), F.round(regime.z_all(F.col("vix")), 6).alias("z"))
 
 
+_DEMO = (
+    ", r AS (SELECT *, vvix / nullif(vix, 0) AS vov FROM daily), s AS (SELECT date, "
+    + ", ".join(f"(rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0e0) / count(*) OVER () AS {c}" for c in ("vix", "vvix", "vov"))
+    + " FROM r), p AS (SELECT *, CAST(floor(vix * 3) + floor(vvix * 3) AS TINYINT) AS regime_score FROM s) SELECT date, "
+    + ", ".join(f"CASE WHEN {c} < 0.25 THEN 'low' WHEN {c} < 0.75 THEN 'mid' WHEN {c} < 0.95 THEN 'high' ELSE 'extreme' END AS {c}_regime" for c in ("vix", "vvix", "vov"))
+    + ", regime_score, CASE WHEN vix >= 0.5 THEN 'hi' ELSE 'lo' END || 'VIX/' || CASE WHEN vvix >= 0.5 THEN 'hi' ELSE 'lo' END || 'VVIX' AS regime_2x2, CASE WHEN regime_score >= 4 THEN 'defensive' WHEN regime_score >= 2 THEN 'neutral' ELSE 'carry' END AS desk_bucket FROM p"
+)
+
+
+@query(_DEMO, "daily")
+def regime_demo(spark, d):
+    return synthetic.demo_regime(views.daily(spark, d)).select("date", *_LABELS, "regime_score", "regime_2x2", "desk_bucket")
+
+
+@query(", x AS (SELECT row_key, ln(strike / underlying_price) / sqrt((open_interest + 1) / 365.0e0) AS m, implied_vol AS v FROM quotes WHERE underlying_price > 0) SELECT row_key, round(greatest(0.05e0, least(3.0e0, v - 0.1e0 * m + 0.1e0 * m * m)), 6) AS vol FROM x", "quotes")
+def vol_smile(spark, d):
+    q = views.quotes(spark, d).where("underlying_price > 0")
+    vol = pricing.smile(F.col("underlying_price"), F.col("strike"), (F.col("open_interest") + 1) / F.lit(365.0), F.col("implied_vol"))
+    return q.select("row_key", F.round(vol, 6).alias("vol"))
+
+
 # alignment and point in time
 
 
