@@ -116,3 +116,18 @@ def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
     got = {r.key: r.root for r in near_dedup.components(links).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+
+
+def test_hubs_are_the_members_nearest_to_the_majority(spark):
+    r = np.random.default_rng(1)
+    sizes = [1, 2, 8, 9, 10, 40, 301]
+    members = {node: [tuple(int(x) for x in r.integers(-(2**63), 2**63, 3)) for _ in range(n)] for node, n in enumerate(sizes)}
+    rows = spark.createDataFrame([(node, *m) for node, ms in members.items() for m in ms], near_dedup.NODE)
+    got = {x.node: (x.size, x.hub.key) for x in near_dedup.hubs_of(rows).collect()}
+    want = {}
+    for node, ms in members.items():
+        bits = np.array([[(v >> i) & 1 for v in m[1:] for i in range(64)] for m in ms])
+        off = (bits != (2 * bits.sum(axis=0) > len(ms))).sum(axis=1) if len(ms) > near_dedup.CENTRAL else np.zeros(len(ms), int)
+        if len(ms) > 1:
+            want[node] = (len(ms), min((int(o), m[0]) for o, m in zip(off, ms))[1])
+    assert got == want

@@ -382,17 +382,12 @@ def hubs_of(rows: DataFrame) -> DataFrame:
     first = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("key", "s1", "s2")).alias("hub")).where("size > 1")
     first = materialize(first, "hubs")
     many = rows.join(first.where(F.col("size") > CENTRAL).select("node", "size"), "node")
-    votes = [F.sum(F.getbit(F.col(c), F.lit(i)).cast("int")).alias(f"{c}_{i}") for c in ("s1", "s2") for i in range(64)]
-    sums = many.groupBy("node").agg(F.first("size").alias("size"), *votes)
 
     def majority(c: str):
-        bits = [F.when(F.col(f"{c}_{i}") * 2 > F.col("size"), F.lit(1 << i if i < 63 else -(1 << 63))).otherwise(F.lit(0).cast("long")) for i in range(64)]
-        out = bits[0]
-        for b in bits[1:]:
-            out = out.bitwiseOR(b)
-        return out
+        """The bits that more than half of the members have set; as one text, since 64 column objects take seconds to build."""
+        return F.expr(" | ".join(f"if(2 * sum(cast(getbit({c}, {i}) as int)) > count(1), shiftleft(1L, {i}), 0L)" for i in range(64)))
 
-    centre = sums.select("node", majority("s1").alias("m1"), majority("s2").alias("m2"))
+    centre = many.groupBy("node").agg(majority("s1").alias("m1"), majority("s2").alias("m2"))
     off = differing(F.col("s1"), F.col("s2"), F.col("m1"), F.col("m2"))
     best = many.join(centre, "node").groupBy("node").agg(F.first("size").alias("size"), F.min(F.struct(off.alias("off"), "key", "s1", "s2")).alias("b"))
     best = best.select("node", "size", F.struct("b.key", "b.s1", "b.s2").alias("hub"))
