@@ -67,6 +67,17 @@ def test_toxicity_counts_copies_once():
     assert toxicity.family(None) == toxicity.family("")
 
 
+def test_toxicity_counts_all_but_equal_texts(spark):
+    passage = prose(6, 200)  # noqa: F405
+    texts = [(i, f"{passage} own{i}", i % 2) for i in range(20)] + [(20, f"{passage} own0", 0), (21, f"{passage} own0", 1), (22, None, 0), (23, "", 0)]
+    rows = spark.createDataFrame([(n, *t[1:]) for n, t in enumerate(texts)], "_row long, text string, toxic int")
+    got = [(r.text or "", r.toxic) for r in toxicity.distinct_texts(rows).collect()]
+    assert sorted(got) == sorted({(t or "", c) for _, t, c in texts})
+    docs = docs_of(spark, [(i, f"{passage} {'vilething' if i < 8 else 'moss'} own{i}") for i in range(80)])  # noqa: F405
+    model = toxicity.learn(docs, spark.createDataFrame([(i, int(i < 8)) for i in range(80)], "doc_id long, label int"))
+    assert model.llr(docs_of(spark, [(1, "vilething")])).first()._llr > 1  # noqa: F405
+
+
 def test_toxicity_edges(spark, edge, empty):
     labels = spark.createDataFrame([(1, 1), (2, 0), (6, 1), (6, 0), (None, 1), (9, None)], "doc_id long, label int")
     rows = toxicity.learn(edge, labels).score(edge).collect()

@@ -3,8 +3,9 @@
 An expression is a whole word ("word$") or the first 3 to LONGEST characters of words. The class is its
 context: P(e | class) is the number of the class's texts with e less an absolute discount, plus the
 discounted mass times the shared backoff, e's share in the texts of both classes. Like Kneser-Ney's
-continuation counts these are counts of different contexts, not of occurrences: neither a repeated word nor
-a copied text (same minwise hash of word 4-grams) counts twice. A word is scored by its longest expression
+continuation counts these are counts of different contexts, not of occurrences: a repeated word counts once, and
+so does a copied text (equal digests of the whole text) in its class; near copies count as texts of their own. A
+word is scored by its longest expression
 that has counts of its own; where the classes' counts differ by no more than chance (log-likelihood
 statistic below `evidence`), both classes back off to the shared counts and the expression weighs nothing.
 Counts come from all labelled documents that may be learnt from, in one distributed aggregation.
@@ -17,11 +18,12 @@ The expressions that weigh are broadcast if there are at most `model_rows`; abov
 joined to them by a shuffle (same scores, no size bound).
 
 Defined results: null texts and texts without words have a difference of 0 and length 0; ids labelled both
-ways or null are not learnt from; without labels of both kinds the score is the smoothed share of label 1.
+ways or null are not learnt from; every different text of a repeated id is; without labels of both kinds the score is the smoothed share of label 1.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 
@@ -39,6 +41,8 @@ SAMPLE = 20_000
 MODEL_ROWS = 500_000
 #: Labelled ids up to which the ids are broadcast to the documents.
 KNOWN_ROWS = 2_000_000
+#: Share of a class's texts that either half holds at least where near copies share a half.
+LEAST_HALF = 0.2
 #: Words whose ratio a worker remembers; expressions that a worker counts before it hands them on.
 MEMO = 300_000
 HELD = 400_000
@@ -58,8 +62,13 @@ def expressions(word: str) -> list[str]:
     return [f"{word}$", *(word[:k] for k in range(min(LONGEST, len(word)), 2, -1))]
 
 
-def family(text: str | None) -> int:
-    """Smallest hash of the text's word 4-grams: equal for copies, and mostly for near copies."""
+def family(text: str | None) -> str:
+    """Digest of the whole text: equal for copies only."""
+    return hashlib.blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+def passage(text: str | None) -> int:
+    """Smallest hash of the text's word 4-grams: mostly equal for near copies, which only share a half for it."""
     own = words(text)
     return min((hash_of(b" ".join(own[i : i + 4])) for i in range(max(1, len(own) - 3))), default=0)
 
@@ -70,7 +79,7 @@ def hash_of(x: bytes) -> int:
 
 def _families(frames):
     for pdf in frames:
-        yield pd.DataFrame({"_id": pdf["_id"], "family": [family(t) - (1 << 63) for t in pdf["text"]]})
+        yield pd.DataFrame({"_row": pdf["_row"], "toxic": pdf["toxic"], "family": [family(t) for t in pdf["text"]], "near": [passage(t) - (1 << 63) for t in pdf["text"]]})
 
 
 def _count(frames):
@@ -237,24 +246,36 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
     return w
 
 
+def distinct_texts(texts: DataFrame) -> DataFrame:
+    """_row, text, toxic, half and _at (place in the sample) of one row of each text in each class. texts: a stored table of _row, text, toxic.
+
+    Near copies share a half; where that leaves a half less than LEAST_HALF of a class, as a passage in most texts may, halves are dealt by text.
+    """
+    families = texts.mapInPandas(_families, "_row long, toxic int, family string, near long")
+    heads = families.groupBy("family", "toxic").agg(F.min(F.struct("_row", "near")).alias("head"))
+    half = lambda c: F.pmod(F.xxhash64(c), F.lit(2)).cast("int")
+    heads = materialize(heads.select("head._row", half("head.near").alias("near"), half("family").alias("own"), F.xxhash64("family", "toxic", F.lit(7)).alias("_at"), F.col("toxic").alias("_c")), "families")
+    shares = [r["share"] for r in heads.groupBy("_c").agg(F.avg("near").alias("share")).collect()]
+    dealt = "near" if all(LEAST_HALF <= x <= 1 - LEAST_HALF for x in shares) else "own"
+    known = heads.count() <= KNOWN_ROWS
+    heads = heads.select("_row", F.col(dealt).alias("half"), "_at")
+    return texts.join(F.broadcast(heads) if known else heads, "_row")
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, model_rows: int = MODEL_ROWS, evidence: float = EVIDENCE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label") -> KneserNey:
     """Count both models over all labelled documents given, and fit the curve. labels: id and label (0 or 1)."""
     small_batches(docs.sparkSession)
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).alias("toxic"), F.max(label_col).alias("_z"))
     known = materialize(known.where("toxic = _z").select(F.col(id_col).alias("_id"), F.col("toxic").cast("int")), "known")
-    small = known.count() <= KNOWN_ROWS
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(known) if small else known, "_id")
-    texts = materialize(texts, "labelled")
-    families = texts.select("_id", "text").mapInPandas(_families, "_id long, family long")
-    heads = families.groupBy("family").agg(F.min("_id").alias("_id"))
-    heads = materialize(heads.select("_id", F.pmod(F.xxhash64("family"), F.lit(2)).cast("int").alias("half")), "families")
-    one = texts.dropDuplicates(["_id"]) if texts.count() != known.count() else texts
-    one = materialize(one.join(F.broadcast(heads) if small else heads, "_id").select("_id", "text", "toxic", "half"), "distinct")
+    known = F.broadcast(known) if known.count() <= KNOWN_ROWS else known
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(known, "_id")
+    texts = materialize(texts.select(F.monotonically_increasing_id().alias("_row"), "text", "toxic"), "labelled")
+    one = materialize(distinct_texts(texts), "distinct")
     n = {f"{'t' if r['toxic'] else 'o'}{r['half']}": r["count"] for r in one.groupBy("toxic", "half").count().collect()}
     counts = materialize(expression_counts(one.select("text", "toxic", "half")), "expressions")
     bare = KneserNey(materialize(ratios(counts, n, evidence), "ratios"), np.zeros(5), model_rows)
-    chosen = one.select("_id").orderBy(F.xxhash64("_id", F.lit(7)), "_id").limit(sample)
-    few = materialize(one.join(F.broadcast(chosen), "_id").select("text", "toxic", "half"), "curve")
+    chosen = one.select("_row", "_at").orderBy("_at", "_row").limit(sample).select("_row")
+    few = materialize(one.join(F.broadcast(chosen), "_row").select("text", "toxic", "half"), "curve")
     parts = []
     for half in (0, 1):
         rows = bare.llr(few.where(F.col("half") == half), f"r{half}")
