@@ -13,10 +13,15 @@ from tidemark.llm.queries import quality_model
 BROADCAST_IDS, BROADCAST_SPANS = 2_000_000, 200_000
 
 
-def without(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """docs without those whose doc_id is removed; rows without an id stay."""
-    removed = materialize(removed.select("doc_id").where("doc_id is not null").distinct(), "removed")
-    return docs.join(F.broadcast(removed) if removed.count() <= BROADCAST_IDS else removed, "doc_id", "left_anti")
+def keyed(docs: DataFrame, label: str) -> DataFrame:
+    """docs, stored, with a key of every row's own; ids may be null or repeated."""
+    return materialize(docs.withColumn("_key", F.monotonically_increasing_id()), label)
+
+
+def without(docs: DataFrame, removed: DataFrame, key: str = "doc_id") -> DataFrame:
+    """docs without those whose key is removed; rows with a null key stay."""
+    removed = materialize(removed.select(key).where(F.col(key).isNotNull()).distinct(), "removed")
+    return docs.join(F.broadcast(removed) if removed.count() <= BROADCAST_IDS else removed, key, "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,11 +31,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies, and one row of each repeated id."""
-    found = materialize(near_dedup.near_duplicates(docs), "near-duplicates")
-    kept = without(docs, found.where("component <> doc_id"))
-    repeated = found.where("component = doc_id").groupBy("doc_id").count().where("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])
+    """One row of each group of near copies, that of the smallest id (one without an id only where none has one), and one wordless row of each id."""
+    docs = keyed(docs, "near-dedup-rows")
+    found = near_dedup.near_duplicates(docs, id_col="_key")
+    own = docs.select("_key", "doc_id", F.xxhash64("text").alias("_hash"))
+    found = materialize(found.join(own, "_key"), "near-duplicates")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_hash", "_key")
+    full, named = F.col("n_shingles") > 0, F.col("doc_id").isNotNull()
+    group = [F.when(full, 0).when(named, 1).otherwise(2).alias("kind"), F.when(full, F.col("component")).when(named, F.col("doc_id")).otherwise(F.col("_key")).alias("group")]
+    kept = found.groupBy(*group).agg(F.min(place).alias("first")).select("first._key")
+    return without(docs, found.join(kept, "_key", "left_anti"), "_key").drop("_key")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,3 +38,13 @@ def test_benchmark_passages_go_and_masks_show(spark):
     left = corpus_pipeline.decontaminated(spark, docs, SF)
     assert [r.doc_id for r in left.collect()] == [2]
     assert corpus_pipeline.masked(spark, left, SF).first().text == "moss slate mail <email>"
+
+
+def test_a_repeated_id_takes_no_other_texts_along(spark):
+    text = {c: prose(40 + n, 60) for n, c in enumerate("abcdef")}  # noqa: F405
+    rows = [(1, "a"), (1, "a"), (2, "b"), (2, "c"), (None, "d"), (None, "e"), (0, "f"), (3, "f"), (3, "a")]
+    docs = docs_of(spark, [(i, text[c]) for i, c in rows] + [(4, ""), (4, ""), (None, ""), (None, None)])  # noqa: F405
+    left = corpus_pipeline.near_duplicates(spark, docs, SF).select("doc_id", "text").collect()
+    name = {v: k for k, v in text.items()}
+    got = sorted(((r.doc_id, name.get(r.text, "")) for r in left), key=str)
+    assert got == sorted([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (None, "e"), (0, "f"), (4, ""), (None, ""), (None, "")], key=str)
