@@ -18,10 +18,10 @@ def keyed(docs: DataFrame, label: str) -> DataFrame:
     return materialize(docs.withColumn("_key", F.monotonically_increasing_id()), label)
 
 
-def without(docs: DataFrame, removed: DataFrame, key: str = "doc_id") -> DataFrame:
-    """docs without those whose key is removed; rows with a null key stay."""
-    removed = materialize(removed.select(key).where(F.col(key).isNotNull()).distinct(), "removed")
-    return docs.join(F.broadcast(removed) if removed.count() <= BROADCAST_IDS else removed, key, "left_anti")
+def without(docs: DataFrame, removed: DataFrame) -> DataFrame:
+    """docs of keyed() without the rows whose _key is removed."""
+    removed = materialize(removed.select("_key"), "removed")
+    return docs.join(F.broadcast(removed) if removed.count() <= BROADCAST_IDS else removed, "_key", "left_anti").drop("_key")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,13 +40,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     full, named = F.col("n_shingles") > 0, F.col("doc_id").isNotNull()
     group = [F.when(full, 0).when(named, 1).otherwise(2).alias("kind"), F.when(full, F.col("component")).when(named, F.col("doc_id")).otherwise(F.col("_key")).alias("group")]
     kept = found.groupBy(*group).agg(F.min(place).alias("first")).select("first._key")
-    return without(docs, found.join(kept, "_key", "left_anti"), "_key").drop("_key")
+    return without(docs, found.join(kept, "_key", "left_anti"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of ten words of a benchmark item."""
-    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, found.where("n_hit > 0"))
+    docs = keyed(docs, "decontamination-rows")
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), id_col="_key")
+    return without(docs, found.where("n_hit > 0").select(F.col("doc_id").alias("_key")))
 
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

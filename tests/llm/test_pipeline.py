@@ -48,3 +48,14 @@ def test_a_repeated_id_takes_no_other_texts_along(spark):
     name = {v: k for k, v in text.items()}
     got = sorted(((r.doc_id, name.get(r.text, "")) for r in left), key=str)
     assert got == sorted([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (None, "e"), (0, "f"), (4, ""), (None, ""), (None, "")], key=str)
+
+
+def test_rows_without_an_id_are_decided_like_others(spark):
+    w = prose(50, 200).split()  # noqa: F405
+    copy, middle, far = " ".join(w), " ".join([*w[:-12], *["new"] * 12]), " ".join([*["other"] * 12, *w[12:-12], *["new"] * 12])
+    docs = docs_of(spark, [(None, prose(51, 60)), (None, prose(51, 60)), (1, prose(52, 60)), (None, prose(52, 59) + " changed"), (8, copy), (None, middle), (9, far)])  # noqa: F405
+    left = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted([(None, prose(51, 60)), (1, prose(52, 60)), (8, copy)], key=str)  # noqa: F405
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    docs = docs_of(spark, [(None, f"moss {item} slate"), (None, "moss slate"), (1, f"{item}"), (1, "river slate")])  # noqa: F405
+    assert sorted(r.text for r in corpus_pipeline.decontaminated(spark, docs, SF).collect()) == ["moss slate", "river slate"]
