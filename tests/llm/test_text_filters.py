@@ -58,6 +58,11 @@ def test_masking(spark, edge):
     assert pii.redact(edge.where("false"), 0).count() == 0
 
 
+def test_overlapping_spans_are_masked_whole(spark):
+    docs = docs_of(spark, [(1, "moss 4111 1111 1111 1111@x.com slate"), (2, "a@b.cd moss")])  # noqa: F405
+    assert {r.doc_id: r.text for r in pii.redact(docs, 100).collect()} == {1: "moss <card> slate", 2: "<email> moss"}
+
+
 def brute_windows(docs, items, size=10):
     win = {}
     for name, text in items:

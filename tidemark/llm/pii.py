@@ -198,12 +198,12 @@ def written(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in angle brackets; of overlapping spans the first by start stays."""
+    """The text with each span replaced by its kind in angle brackets; overlapping spans are one, of the first's kind by start."""
     by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("less"), s["kind"].alias("kind"))))
     walk = F.aggregate(
         by_start,
         F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(
+        lambda acc, s: F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], -s["less"]).alias("at"), acc["out"].alias("out"))).otherwise(
             F.struct((-s["less"]).alias("at"), F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("<"), s["kind"], F.lit(">")))).alias("out"))
         ),
     )
