@@ -50,6 +50,18 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert got[100] == "phone:12:24" and got[101] == got[102] == got[200] == ""
 
 
+def test_failed_matches_block_no_discovery(spark):
+    rows = [(i, f"moss call: +1 (555) 123-{4000 + i} river") for i in range(12)]
+    rows += [(100, "slate call: 555 123 9999 thyme"), (101, "slate call: 555 123 9999 thyme 1234567890123456"), (102, "call: 555 123 8888 and 9999999999999999")]
+    rows += [(200 + i, f"card: {n} moss") for i, n in enumerate(("4111 1111 1111 1111", "4111 1111 1111 1112", "4111 1111 1111 1112"))]
+    docs = docs_of(spark, rows)  # noqa: F405
+    got = {r[0]: r[1] for r in pii.extract(docs).select("doc_id", pii.written(F.col("spans"))).collect()}  # noqa: F405
+    assert got[100] == got[101] == "phone:12:24" and got[102] == "phone:6:18" and got[201] == ""
+    found = {r.id: r for r in pii.found(docs, "doc_id", "text").collect()}
+    assert [(m.kind, m.seed) for m in found[101].matches] == [("card", False), ("card", True)]
+    assert [u.known for u in found[201].unknown] == [True]
+
+
 def test_masking(spark, edge):
     docs = docs_of(spark, [(1, "é a@b.cd x"), (1, "plain"), (2, None), (3, "+1 (555) 123-4567"), (3, "+1 (555) 123-4567")])  # noqa: F405
     rows = pii.redact(docs, 100).collect()

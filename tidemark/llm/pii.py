@@ -4,7 +4,7 @@ Base matches of four kinds (e-mail address, IP address, card number, phone numbe
 word before it, is a lexical pattern. Cues and values (an e-mail in lower case, or a number's digits) form a
 graph; over ROUNDS a pattern's confidence for a kind is the weighted share of that kind among all values
 that follow it, and an unknown value takes the best confidence of the patterns it follows. Seeds stay at 1,
-matches that failed their kind's test at 0. Patterns of at least `support` seed values and a confidence of
+matches of their kind's length that failed its test at 0; other failed matches are no evidence. Patterns of at least `support` seed values and a confidence of
 at least `confidence` discover identifiers that the base expressions miss: values of a shape near their kind.
 
 A text is only taken apart by a kind's expression if a cheap test finds what the kind can't do without.
@@ -13,7 +13,7 @@ they take time in proportion to the text.
 
 Defined results: null and empty texts have no spans; offsets are code points, the end is exclusive; repeated
 rows and ids get a row each; overlapping spans of different kinds all stay, discovered spans that overlap
-a base span are dropped; an empty table gives no rows.
+a base span are dropped (a failed match drops none); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -102,6 +102,13 @@ def fine(kind: str, value: Column) -> Column:
     return n.between(8, 15)
 
 
+def of_length(kind: str, value: Column) -> Column:
+    """Whether a base match has the length of its kind, so that a failed test tells that it is none."""
+    if kind == "ip":
+        return F.forall(F.split(value, r"\."), lambda part: F.length(F.regexp_replace(part, "^0+", "")) <= 3)
+    return F.length(digits(value)).between(16, 19) if kind == "card" else fine(kind, value)
+
+
 def _at_most_255(part: Column) -> Column:
     short = F.regexp_replace(part, "^0+", "")
     return (F.length(short) < 3) | ((F.length(short) == 3) & (short <= "255"))
@@ -130,7 +137,10 @@ def cue_of(before: Column) -> Column:
 
 
 def found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """_row, id, matches (kind, fine, start, end, value, before) and unknown values of the like, for every row."""
+    """_row, id, matches (kind, fine, seed, start, end, value, cue) and unknown values of the like (start, end, value, cue, known), for every row.
+
+    seed: the match passed its test or is of its kind's length; known: a failed seed in the same place has the unknown's value.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.array().cast("array<struct<start:int,end:int,value:string,before:string>>")
     at, plus = F.contains(text, F.lit("@")), F.contains(text, F.lit("+"))
@@ -141,17 +151,19 @@ def found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"), *[c.alias(n) for n, c in columns.items()])
 
     def tagged(kind: str) -> Column:
-        return F.transform(F.col(f"_{kind}"), lambda m: F.struct(F.lit(kind).alias("kind"), fine(kind, m["value"]).alias("fine"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"), cue_of(m["before"]).alias("cue")))
+        return F.transform(F.col(f"_{kind}"), lambda m: F.struct(F.lit(kind).alias("kind"), fine(kind, m["value"]).alias("fine"), of_length(kind, m["value"]).alias("seed"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"), cue_of(m["before"]).alias("cue")))
 
     rows = rows.select("_row", "id", F.concat(*[tagged(k) for k in KINDS]).alias("matches"), "_like")
-    clear = F.filter("_like", lambda u: ~F.exists("matches", lambda m: (m["start"] < u["end"]) & (u["start"] < m["end"])))
-    return rows.select("_row", "id", "matches", F.transform(clear, lambda u: F.struct(u["start"].alias("start"), u["end"].alias("end"), u["value"].alias("value"), cue_of(u["before"]).alias("cue"))).alias("unknown"))
+    over = lambda m, u: (m["start"] < u["end"]) & (u["start"] < m["end"])
+    clear = F.filter("_like", lambda u: ~F.exists("matches", lambda m: m["fine"] & over(m, u)))
+    known = lambda u: F.exists("matches", lambda m: m["seed"] & ~m["fine"] & over(m, u) & (value_of(m["value"]) == value_of(u["value"])))
+    return rows.select("_row", "id", "matches", F.transform(clear, lambda u: F.struct(u["start"].alias("start"), u["end"].alias("end"), u["value"].alias("value"), cue_of(u["before"]).alias("cue"), known(u).alias("known"))).alias("unknown"))
 
 
 def patterns(rows: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
     """cue, kind, conf: the patterns of high confidence. rows: found()."""
-    seeds = rows.select(F.explode("matches").alias("m")).select("m.cue", value_of(F.col("m.value")).alias("inst"), F.when(F.col("m.fine"), F.col("m.kind")).alias("kind"), F.lit(True).alias("base"))
-    others = rows.select(F.explode("unknown").alias("u")).select("u.cue", value_of(F.col("u.value")).alias("inst"), F.lit(None).cast("string").alias("kind"), F.lit(False).alias("base"))
+    seeds = rows.select(F.explode("matches").alias("m")).where("m.seed").select("m.cue", value_of(F.col("m.value")).alias("inst"), F.when(F.col("m.fine"), F.col("m.kind")).alias("kind"), F.lit(True).alias("base"))
+    others = rows.select(F.explode("unknown").alias("u")).where("not u.known").select("u.cue", value_of(F.col("u.value")).alias("inst"), F.lit(None).cast("string").alias("kind"), F.lit(False).alias("base"))
     uses = seeds.unionByName(others).where("cue <> ''").groupBy("cue", "inst").agg(
         F.count(F.lit(1)).alias("n"), *[F.max((F.col("kind") == k).cast("double")).alias(f"k_{k}") for k in KINDS], F.max("base").alias("base")
     )
