@@ -108,6 +108,19 @@ def test_decontamination_equals_brute_force(spark, monkeypatch, segment, chunk):
     assert got == sorted(brute_windows(docs, items), key=repr)
 
 
+def test_segments_of_equal_ids_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "CHUNK", 20)
+    a, b = prose(7, 25), prose(8, 12)  # noqa: F405
+    items = [(1, a), (2, b)]
+    docs = [(i, f"{prose(60 + n, 100)} {end}") for n, (i, end) in enumerate([(6, a), (6, b), (6, "moss"), (None, a), (None, "moss")])]  # noqa: F405
+    parts = docs_of(spark, docs[:1])  # noqa: F405
+    for d in docs[1:]:
+        parts = parts.union(docs_of(spark, [d]))  # noqa: F405
+    found = decontamination.decontaminate(parts, spark.createDataFrame(items, "item_id long, text string"))  # noqa: F405
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in found.collect()), key=repr)
+    assert got == sorted(brute_windows(docs, items), key=repr)
+
+
 def test_spans_and_nearness(spark, empty):
     phrase = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     docs = docs_of(spark, [(1, f"one two {phrase} three"), (2, "alpha beta x gamma delta zeta epsilon eta theta y iota kappa"), (3, "alpha kappa")])  # noqa: F405

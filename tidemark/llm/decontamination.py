@@ -16,6 +16,8 @@ an id match nothing; repeated item rows count once by their id, repeated documen
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -58,6 +60,7 @@ def segment(ids: list, texts: list[bytes]) -> dict:
     steps[first] = order[first]
     starts = np.r_[0, gaps[:-1] + 1].astype(np.int32)
     return {
+        "segment": uuid.uuid4().hex,
         "ids": np.array([0 if x is None else x for x in ids], np.int64).tobytes(),
         "known": np.array([x is not None for x in ids], np.int8).tobytes(),
         "starts": starts.tobytes(),
@@ -68,7 +71,7 @@ def segment(ids: list, texts: list[bytes]) -> dict:
     }
 
 
-INDEX = "ids binary, known binary, starts binary, ends binary, terms binary, counts binary, steps binary"
+INDEX = "segment string, ids binary, known binary, starts binary, ends binary, terms binary, counts binary, steps binary"
 
 
 def _segments(frames):
@@ -201,19 +204,13 @@ def _probe(chunk):
                         "n_hit": hits,
                         "items": [sorted(set(found.get(d, []))) for d in range(n)],
                         "spans": [spans.get(d, []) for d in range(n)],
-                        "place": [f"{seg.starts[d]}:{hash_bytes(row.ids)}" for d in range(n)],
+                        "place": [f"{row.segment}:{d}" for d in range(n)],
                     }
                 )
 
     return run
 
 
-def hash_bytes(x: bytes) -> str:
-    import hashlib
-
-    return hashlib.blake2b(x, digest_size=8).hexdigest()
-
-
 FOUND = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<from: long, to: long>>, place string"
 
 
