@@ -1,8 +1,11 @@
+from collections import Counter
+
 import numpy as np
 from conftest import *  # noqa: F403
 from pyspark.sql import functions as F
 
 from tidemark.llm import queries, rule_ensemble, toxicity
+from tidemark.llm.common import inner
 
 SF = "/root/testdata/sf0.01"
 
@@ -41,7 +44,7 @@ def test_quality_on_held_out_labels(spark):
 
 
 def test_toxicity_on_held_out_labels(spark):
-    held_out(spark, "op6_toxicity", "toxic", 0.9)
+    held_out(spark, "op6_toxicity", "toxic", 0.93)
 
 
 def toxic_docs():
@@ -49,16 +52,84 @@ def toxic_docs():
     return rows, [(i, int(i % 4 == 0)) for i in range(400)]
 
 
-def test_toxicity_backs_off_to_beginnings_and_paths_agree(spark):
+def spelled(word):
+    n = min(len(word), toxicity.LONGEST)
+    return [(word[:k], word[k]) for k in range(n)] + [(word[:n], word[n:] + "$")]
+
+
+class BruteForce:
+    """The two models over dictionaries. texts: pairs of a text and its class."""
+
+    def __init__(self, texts):
+        self.n = {c: Counter() for c in "tos"}
+        for text, toxic in set(texts):
+            for w in set(toxicity.words(text)):
+                for s in spelled(w.decode()):
+                    self.n["t" if toxic else "o"][s] += 1
+                    self.n["s"][s] += 1
+        self.follows = Counter(x for _, x in self.n["s"])
+
+    def of(self, c, h, d):
+        counts = [v for (own, _), v in self.n[c].items() if own == h]
+        return sum(counts), sum(min(v, d) for v in counts)
+
+    def shared(self, h, x):
+        n, m = self.of("s", h, toxicity.SHARED_DISCOUNT)
+        return (max(self.n["s"][h, x] - toxicity.SHARED_DISCOUNT, 0) + m * self.follows[x] / sum(self.follows.values())) / n
+
+    def p(self, c, h, x):
+        n, m = self.of(c, h, toxicity.DISCOUNT)
+        return (max(self.n[c][h, x] - toxicity.DISCOUNT, 0) + m * self.shared(h, x)) / n if n else self.shared(h, x)
+
+    def difference(self, word):
+        total = 0.0
+        for h, x in spelled(word):
+            if not self.n["s"][h, x]:
+                n = {c: self.of(c, h, toxicity.DISCOUNT) for c in "to"}
+                lost = {c: np.log(v[1] / v[0]) if v[0] else 0.0 for c, v in n.items()}
+                return total + lost["t"] - lost["o"]  # what follows is left to the shared counts in both
+            total += np.log(self.p("t", h, x)) - np.log(self.p("o", h, x))
+        return total
+
+
+SHORT = ["moss moss mosaic slate", "moss slate slates", "river mosses ab", "éclair river moss", "extraordinarily slate", "extraordinary river", "moss slate slates"]
+
+
+def test_toxicity_model_equals_brute_force(spark):
+    texts = [(t, i % 2) for i, t in enumerate(SHORT)]
+    rows = spark.createDataFrame([(t, c, i % 3 % 2) for i, (t, c) in enumerate(dict.fromkeys(texts))], "text string, toxic int, half int")
+    counts = toxicity.expression_counts(rows).cache()
+    brute = BruteForce(texts)
+    assert {(r.h, r.x): r.t0 + r.t1 for r in counts.collect() if r.t0 + r.t1} == dict(brute.n["t"])
+    got = toxicity.conditionals(counts).collect()
+    assert len(got) == len(brute.n["s"])
+    for r in got:
+        assert np.isclose(np.exp(r.t_r), brute.p("t", r.h, r.x)) and np.isclose(np.exp(r.o_r), brute.p("o", r.h, r.x))
+    for h in {r.h for r in got}:
+        for c in "to":
+            assert np.isclose(sum(brute.p(c, h, x) for x in brute.follows), 1)
+    model = toxicity.KneserNey(toxicity.differences(counts).cache(), np.zeros(toxicity.N_FEATURES + 1), toxicity.MODEL_ROWS)
+    new = [(1, "moss mosx moss zzz"), (2, "extraordinarilyish river slate"), (3, None), (4, "é éclairs ab abc a")]
+    want = {i: Counter({w: n for w, n in Counter(x.decode() for x in toxicity.words(t)).items()}) for i, t in new}
+    for rows_held in (toxicity.MODEL_ROWS, 0):
+        model.model_rows = rows_held
+        for r in model.differences(docs_of(spark, new)).collect():  # noqa: F405
+            found = r[inner("llr")]
+            each = sorted((brute.difference(w) for w in want[r.doc_id]), reverse=True)
+            assert np.isclose(found.llr, sum(n * brute.difference(w) for w, n in want[r.doc_id].items())) and found.n == sum(want[r.doc_id].values())
+            assert np.allclose(found.peaks, [each[k - 1] if len(each) >= k else 0.0 for k in toxicity.PEAKS])
+
+
+def llr(model, rows, spark):
+    return {r.doc_id: r[inner("llr")] for r in model.differences(docs_of(spark, rows)).collect()}  # noqa: F405
+
+
+def test_toxicity_backs_off_to_beginnings_and_keeps_rare_words(spark):
     rows, labels = toxic_docs()
-    docs = docs_of(spark, rows)  # noqa: F405
-    model = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, label int"))
-    new = docs_of(spark, [(1, "moss river vilethings slate"), (2, "moss river slate"), (3, None), (4, "")])  # noqa: F405
-    got = {r.doc_id: r for r in model.llr(new).collect()}
-    assert got[1]._llr > 1 and got[2]._llr == 0 and got[3]._n == got[4]._n == 0
-    model.model_rows = 0
-    slow = {r.doc_id: r for r in model.llr(new).collect()}
-    assert all(abs(slow[i]._llr - got[i]._llr) < 1e-9 and slow[i]._n == got[i]._n for i in got)
+    rows += [(900 + i, prose(900 + i, 30) + " oncewas") for i in range(1)]  # noqa: F405
+    model = toxicity.learn(docs_of(spark, rows), spark.createDataFrame([*labels, (900, 1)], "doc_id long, label int"))  # noqa: F405
+    got = llr(model, [(1, "vilethings"), (2, "moss1"), (3, None), (4, ""), (5, "oncewas")], spark)
+    assert got[1].llr > 1 and abs(got[2].llr) < 0.5 and got[3].n == got[4].n == 0 and got[5].llr > 0.5
 
 
 def test_toxicity_counts_copies_once():
@@ -75,7 +146,7 @@ def test_toxicity_counts_all_but_equal_texts(spark):
     assert sorted(got) == sorted({(t or "", c) for _, t, c in texts})
     docs = docs_of(spark, [(i, f"{passage} {'vilething' if i < 8 else 'moss'} own{i}") for i in range(80)])  # noqa: F405
     model = toxicity.learn(docs, spark.createDataFrame([(i, int(i < 8)) for i in range(80)], "doc_id long, label int"))
-    assert model.llr(docs_of(spark, [(1, "vilething")])).first()._llr > 1  # noqa: F405
+    assert llr(model, [(1, "vilething")], spark)[1].llr > 1
 
 
 def test_toxicity_edges(spark, edge, empty):

@@ -52,6 +52,11 @@ def small_batches(spark: SparkSession, rows: int = 1024, size: str = "8m") -> No
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+def inner(name: str) -> str:
+    """A column's name inside an operator, which no column of a caller has."""
+    return f"__tidemark_{name}__"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,24 +1,31 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-An expression is a whole word ("word$") or the first 3 to LONGEST characters of words. The class is its
-context: P(e | class) is the number of the class's texts with e less an absolute discount, plus the
-discounted mass times the shared backoff, e's share in the texts of both classes. Like Kneser-Ney's
-continuation counts these are counts of different contexts, not of occurrences: a repeated word counts once, and
-so does a copied text (equal digests of the whole text) in its class; near copies count as texts of their own. A
-word is scored by its longest expression
-that has counts of its own; where the classes' counts differ by no more than chance (log-likelihood
-statistic below `evidence`), both classes back off to the shared counts and the expression weighs nothing.
-Counts come from all labelled documents that may be learnt from, in one distributed aggregation.
-
-A document's score compares its two log-likelihoods: their difference, normalised by length, goes through a
-logistic curve. The curve is fitted on at most `sample` labelled documents, each scored by models counted
-without the half of the documents that it belongs to.
-
-The expressions that weigh are broadcast if there are at most `model_rows`; above, the documents' words are
-joined to them by a shuffle (same scores, no size bound).
-
-Defined results: null texts and texts without words have a difference of 0 and length 0; ids labelled both
-ways or null are not learnt from; every different text of a repeated id is; without labels of both kinds the score is the smoothed share of label 1.
+A word is spelled: its first LONGEST letters one by one, then the rest (with its end) as one symbol. The history
+of a symbol is the whole beginning before it and the class. Counts are continuation counts: n(class, h, x) is the
+number of pairs of a text of the class and a different word in it that begins with h x, so repeats within a text
+and copies of a whole text count once. With an absolute discount D,
+
+    P(x | class, h) = (max(n(class, h, x) - D, 0) + M(class, h) * S(x | h)) / n(class, h),   M = sum of min(n, D)
+
+and where the class doesn't know h, P = S. The backoff S drops the class from the history and is shared:
+
+    S(x | h) = (max(n(h, x) - d, 0) + m(h) * U(x)) / n(h),   U(x) = number of histories that x follows / all such pairs
+
+A rare expression so keeps most of its probability from the shared counts, and nothing is set to zero. Both classes'
+log-likelihoods of a word are sums over its symbols; a history or symbol that neither class has seen is left to S
+in both. All counts come from all labelled documents that may be learnt from, in one distributed aggregation.
+
+A document's score compares the two log-likelihoods, normalised by length: their difference over all words, by
+the number of words and by its root, and that of its PEAKS most toxic different words (each is a stretch of length
+one), as one insult in a long text weighs little in the whole. A logistic curve joins them, fitted on at most
+`sample` labelled documents, each scored by models counted without the half of the documents that it belongs to.
+
+The model is broadcast as arrays (32 bytes an expression) if it has at most `model_rows` expressions; above, the
+documents' words are joined to it by a shuffle (same scores, no size bound).
+
+Defined results: null texts and texts without words have differences of 0 and length 0; ids labelled both
+ways or null are not learnt from; every different text of a repeated id is; without labels of both kinds the
+score is the smoothed share of label 1.
 """
 
 from __future__ import annotations
@@ -29,27 +36,29 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, small_batches
+from tidemark.llm.common import inner, materialize, small_batches
 
-DISCOUNT = 0.75
+DISCOUNT, SHARED_DISCOUNT = 0.75, 0.05
 LONGEST = 8
-EVIDENCE = 20.0
+#: Ranks of a text's most toxic different words whose differences are features.
+PEAKS = (1, 2, 3, 5, 8)
 SAMPLE = 20_000
-MODEL_ROWS = 500_000
+MODEL_ROWS = 4_000_000
 #: Labelled ids up to which the ids are broadcast to the documents.
 KNOWN_ROWS = 2_000_000
 #: Share of a class's texts that either half holds at least where near copies share a half.
 LEAST_HALF = 0.2
-#: Words whose ratio a worker remembers; expressions that a worker counts before it hands them on.
+#: Words whose difference a worker remembers; words that a worker counts before it hands them on.
 MEMO = 300_000
 HELD = 400_000
 
 _FOLD = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 #: The models: from all counts, without half 0, without half 1.
 KINDS = {"r": ("t0 + t1", "o0 + o1"), "r0": ("t1", "o1"), "r1": ("t0", "o0")}
+N_FEATURES = 3 + len(PEAKS)
 
 
 def words(text: str | None) -> list[bytes]:
@@ -57,11 +66,6 @@ def words(text: str | None) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").translate(_FOLD).split() if text else []
 
 
-def expressions(word: str) -> list[str]:
-    """Longest first: the whole word, then its beginnings."""
-    return [f"{word}$", *(word[:k] for k in range(min(LONGEST, len(word)), 2, -1))]
-
-
 def family(text: str | None) -> str:
     """Digest of the whole text: equal for copies only."""
     return hashlib.blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
@@ -70,105 +74,185 @@ def family(text: str | None) -> str:
 def passage(text: str | None) -> int:
     """Smallest hash of the text's word 4-grams: mostly equal for near copies, which only share a half for it."""
     own = words(text)
-    return min((hash_of(b" ".join(own[i : i + 4])) for i in range(max(1, len(own) - 3))), default=0)
+    return min((zlib.crc32(b" ".join(own[i : i + 4])) for i in range(max(1, len(own) - 3))), default=0)
 
 
 def hash_of(x: bytes) -> int:
-    return zlib.crc32(x) << 32 | zlib.adler32(x)
+    return int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little")
 
 
 def _families(frames):
     for pdf in frames:
-        yield pd.DataFrame({"_row": pdf["_row"], "toxic": pdf["toxic"], "family": [family(t) for t in pdf["text"]], "near": [passage(t) - (1 << 63) for t in pdf["text"]]})
+        yield pd.DataFrame({"_row": pdf["_row"], "toxic": pdf["toxic"], "family": [family(t) for t in pdf["text"]], "near": [passage(t) for t in pdf["text"]]})
 
 
 def _count(frames):
     counts: dict[tuple[int, int], Counter] = {}
-    memo: dict[bytes, list[str]] = {}
     for pdf in frames:
         for text, toxic, half in zip(pdf["text"], pdf["toxic"], pdf["half"]):
-            own: set[str] = set()
-            for w in set(words(text)):
-                if w not in memo:
-                    memo[w] = expressions(w.decode("utf-8", "replace"))
-                own.update(memo[w])
-            counts.setdefault((toxic, half), Counter()).update(own)
+            counts.setdefault((toxic, half), Counter()).update(set(words(text)))
             if sum(map(len, counts.values())) >= HELD:
                 yield from _counted(counts)
                 counts = {}
-        if len(memo) > MEMO:
-            memo.clear()
     yield from _counted(counts)
 
 
 def _counted(counts: dict):
     for (toxic, half), c in counts.items():
         if c:
-            yield pd.DataFrame({"e": list(c), "toxic": toxic, "half": half, "n": list(c.values())})
+            yield pd.DataFrame({"word": [w.decode("utf-8", "replace") for w in c], "toxic": toxic, "half": half, "n": list(c.values())})
 
 
 def expression_counts(docs: DataFrame) -> DataFrame:
-    """e and the number of texts with it by class (t: toxic, o: ordinary) and half. docs: text, toxic, half."""
-    rows = docs.mapInPandas(_count, "e string, toxic int, half int, n long")
+    """e ("word$" or a beginning), h (its history), x (its symbol), and the counts by class (t: toxic, o: ordinary) and half. docs: text, toxic, half."""
+    rows = docs.mapInPandas(_count, "word string, toxic int, half int, n long")
     part = lambda c, h: F.sum(F.when((F.col("toxic") == c) & (F.col("half") == h), F.col("n")).otherwise(0))
-    return rows.groupBy("e").agg(*[part(c, h).alias(f"{x}{h}") for x, c in (("t", 1), ("o", 0)) for h in (0, 1)])
-
-
-def ratios(counts: DataFrame, texts: dict[str, int], evidence: float = EVIDENCE) -> DataFrame:
-    """e, and log P(e | toxic) / P(e | ordinary) for each of KINDS where the classes differ. texts: number of texts as t0, t1, o0, o1."""
-    masses = []
-    for x, (t, o) in KINDS.items():
-        for c, e in (("t", t), ("o", o)):
-            masses += [F.sum(F.expr(e)).alias(f"{c}n{x}"), F.sum(F.least(F.expr(e).cast("double"), F.lit(DISCOUNT))).alias(f"{c}m{x}")]
-    whole = counts.agg(*masses).first()
+    sums = [(f"{x}{h}", part(c, h)) for x, c in (("t", 1), ("o", 0)) for h in (0, 1)]
+    by_word = rows.groupBy("word").agg(*[s.alias(n) for n, s in sums])
+    spelled = by_word.select(F.explode(symbols(F.col("word"))).alias("s"), *[n for n, _ in sums])
+    return spelled.groupBy("s.e", "s.h", "s.x").agg(*[F.sum(n).alias(n) for n, _ in sums])
+
+
+def symbols(word):
+    """The spelling of a word: array of (e, h, x)."""
+    n = F.least(F.length(word), F.lit(LONGEST))
+    letter = lambda k: F.struct(F.substring(word, F.lit(1), k).alias("e"), F.substring(word, F.lit(1), k - 1).alias("h"), F.substring(word, k, F.lit(1)).alias("x"))
+    end = F.struct(F.concat(word, F.lit("$")).alias("e"), F.substring(word, F.lit(1), n).alias("h"), F.concat(F.substring(word, n + 1, F.length(word)), F.lit("$")).alias("x"))
+    return F.concat(F.transform(F.sequence(F.lit(1), n), letter), F.array(end))
+
+
+def history_sums(counts: DataFrame) -> DataFrame:
+    """h and, for each of KINDS, its counts and discounted masses by class (t, o) and of both (s)."""
+    sums = []
+    for k, (t, o) in KINDS.items():
+        for c, expr, d in (("t", t, DISCOUNT), ("o", o, DISCOUNT), ("s", f"{t} + {o}", SHARED_DISCOUNT)):
+            sums += [F.sum(F.expr(expr)).cast("double").alias(f"n{c}_{k}"), F.sum(F.least(F.expr(expr).cast("double"), F.lit(d))).alias(f"m{c}_{k}")]
+    return counts.groupBy("h").agg(*sums)
+
+
+def continuations(counts: DataFrame) -> DataFrame:
+    """x and, for each of KINDS, its share U(x) of all pairs of a history and a symbol."""
+    seen = {k: F.sum(F.when(F.expr(f"{t} + {o}") > 0, 1).otherwise(0)) for k, (t, o) in KINDS.items()}
+    by = materialize(counts.groupBy("x").agg(*[s.alias(f"u_{k}") for k, s in seen.items()]), "continuations")
+    whole = by.agg(*[F.sum(f"u_{k}").alias(k) for k in KINDS]).first()
+    return by.select("x", *[(F.col(f"u_{k}") / max(1, whole[k] or 0)).alias(f"u_{k}") for k in KINDS])
+
+
+def conditionals(counts: DataFrame) -> DataFrame:
+    """counts with, for each of KINDS, log P(x | toxic, h) and log P(x | ordinary, h) as t_ and o_; both null where neither class has seen h x. counts is read several times."""
+    # single letters are many rows' symbol, but there are no more of them than Unicode has
+    u = continuations(counts)
+    one = F.length("x") == 1
+    letters = counts.where(one).join(F.broadcast(u.where(one)), "x")
+    rests = counts.where(~one).join(u.where(~one), "x")
+    rows = letters.unionByName(rests).join(history_sums(counts), "h")
     out = []
-    for x, (t, o) in KINDS.items():
-        n_t, n_o = (float(eval_sum(e, texts)) for e in (t, o))
-        if not n_t or not n_o or not whole[f"tn{x}"] or not whole[f"on{x}"]:
-            out.append(F.lit(0.0).alias(x))
-            continue
+    for k, (t, o) in KINDS.items():
         a, b = F.expr(t).cast("double"), F.expr(o).cast("double")
-        share = (a + b) / (n_t + n_o)
-        p_t = (F.greatest(a - DISCOUNT, F.lit(0.0)) + whole[f"tm{x}"] / whole[f"tn{x}"] * n_t * share) / n_t
-        p_o = (F.greatest(b - DISCOUNT, F.lit(0.0)) + whole[f"om{x}"] / whole[f"on{x}"] * n_o * share) / n_o
-        part = lambda k, n: F.when(k > 0, k * F.log(k / (F.lit(n) * share))).otherwise(0.0)
-        g = 2 * (part(a, n_t) + part(b, n_o))
-        out.append(F.when((a + b > 0) & (g >= evidence), F.log(p_t / p_o)).otherwise(0.0).alias(x))
-    return counts.select("e", *out).where(" or ".join(f"{x} <> 0" for x in KINDS))
-
-
-def eval_sum(names: str, values: dict[str, int]) -> int:
-    return sum(values.get(n.strip(), 0) for n in names.split("+"))
-
-
-class Ratios:
-    """Ratio of a word by its longest expression that has one; a bounded memory of the words seen."""
-
-    def __init__(self, table: dict[str, float]):
-        self.table, self.memo = table, {}
-        self.heads = {e.removesuffix("$")[:3] for e in table}  # what no expression begins with weighs nothing
+        n = {c: F.col(f"n{c}_{k}") for c in "tos"}
+        m = {c: F.col(f"m{c}_{k}") for c in "tos"}
+        s = F.try_divide(F.greatest(a + b - SHARED_DISCOUNT, F.lit(0.0)) + m["s"] * F.col(f"u_{k}"), n["s"])
+        p = lambda c, v: F.coalesce(F.try_divide(F.greatest(v - DISCOUNT, F.lit(0.0)) + m[c] * s, n[c]), s)  # noqa: E731, B023
+        out += [F.when(a + b > 0, F.log(p(c, v))).alias(f"{c}_{k}") for c, v in (("t", a), ("o", b))]
+    return rows.select("e", "h", "x", *out)
+
+
+def differences(counts: DataFrame) -> DataFrame:
+    """e and, for each of KINDS, d_ (log P(x | toxic, h) - log P(x | ordinary, h) of its last symbol; null where unseen) and
+    v_ (the same of any unseen symbol after it). A row with e = "" holds v_ of the first letter."""
+    own = conditionals(counts).select("e", *[(F.col(f"t_{k}") - F.col(f"o_{k}")).alias(f"d_{k}") for k in KINDS])
+    share = lambda c, k: F.coalesce(F.log(F.try_divide(f"m{c}_{k}", f"n{c}_{k}")), F.lit(0.0))
+    after = history_sums(counts).select(F.col("h").alias("e"), *[(share("t", k) - share("o", k)).alias(f"v_{k}") for k in KINDS])
+    return own.join(after, "e", "full")
+
+
+def spellings(own: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the beginnings of 1 to LONGEST letters (0 where the word is shorter) and of the whole, a row a word."""
+    decoded = [w.decode("utf-8", "replace") for w in own]
+    sizes = np.fromiter(map(len, decoded), np.int64, len(own))
+    codes = np.array([w[:LONGEST] for w in decoded] or [""], dtype=f"U{LONGEST}").view(np.uint32).reshape(-1, LONGEST)[: len(own)].astype(np.uint64)
+    heads = np.zeros((len(own), LONGEST), np.uint64)
+    h = np.full(len(own), 0x243F6A8885A308D3, np.uint64)
+    for k in range(LONGEST):
+        h = _mix((h + codes[:, k]) * np.uint64(0x9E3779B97F4A7C15))
+        heads[:, k] = np.where(sizes > k, h, 0)
+    whole = np.fromiter((hash_of(w) for w in own), np.uint64, len(own))
+    return heads, _mix(whole * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
+
+
+def _keys(frames):
+    """Hash of every expression, so that no text reaches the driver."""
+    for pdf in frames:
+        e = [x.encode("utf-8") for x in pdf["e"]]
+        whole = np.array([x.endswith(b"$") for x in e], bool)
+        heads, ends = spellings([x.removesuffix(b"$") for x in e])
+        sizes = np.array([len(x) for x in pdf["e"]], np.int64)
+        last = heads[np.arange(len(e)), np.clip(sizes - 1, 0, LONGEST - 1)]
+        out = pdf.drop(columns="e")
+        out.insert(0, "e", np.where(whole, ends, last).view(np.int64))
+        yield out
+
+
+class Differences:
+    """The difference of a word's two log-likelihoods, by a table of hashed expressions; a bounded memory of the words seen."""
+
+    def __init__(self, keys: np.ndarray, own: np.ndarray, after: np.ndarray, first: float):
+        order = np.argsort(keys)
+        self.keys, self.own, self.after, self.first, self.memo = keys[order], own[order], after[order], first, {}
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(h), -1)
+        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        return np.where(self.keys[at] == h, at, -1)
+
+    def looked_up(self, own: list[bytes]) -> np.ndarray:
+        heads, ends = spellings(own)
+        total, after, live = np.zeros(len(own)), np.full(len(own), self.first), np.ones(len(own), bool)
+        for k in range(LONGEST + 1):
+            here = (live & (heads[:, k] != 0)) if k < LONGEST else live
+            rows = np.flatnonzero(here)
+            at = self._find(heads[rows, k] if k < LONGEST else ends[rows])
+            d = np.where(at >= 0, self.own[at], np.nan) if len(self.keys) else np.full(len(rows), np.nan)
+            known = ~np.isnan(d)
+            total[rows] += np.where(known, d, after[rows])
+            live[rows[~known]] = False
+            if k < LONGEST:
+                v = self.after[at[known]]
+                after[rows[known]] = np.where(np.isnan(v), 0.0, v)
+        return total
 
     def of(self, flat: list[bytes]) -> np.ndarray:
-        memo, table = self.memo, self.table
-        new = [w for w in dict.fromkeys(flat) if w not in memo]
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
+        new = [w for w in dict.fromkeys(flat) if w not in self.memo]
+        if len(self.memo) + len(new) > MEMO:
+            self.memo.clear()
             new = list(dict.fromkeys(flat))
-        heads = self.heads
-        for w in new:
-            word = w.decode("utf-8", "replace")
-            memo[w] = next((table[e] for e in expressions(word) if e in table), 0.0) if word[:3] in heads else 0.0
-        return np.fromiter(map(memo.__getitem__, flat), np.float64, len(flat))
+        if new:
+            self.memo.update(zip(new, self.looked_up(new).tolist()))
+        return np.fromiter(map(self.memo.__getitem__, flat), np.float64, len(flat))
 
 
 def _scorer(shared):
-    @F.pandas_udf("llr double, n long")
+    @F.pandas_udf("llr double, n long, peaks array<double>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        split = [words(t) for t in texts]
-        sizes = np.array([len(ws) for ws in split], np.int64)
-        flat = [w for ws in split for w in ws]
-        total = np.bincount(np.repeat(np.arange(len(split)), sizes), shared.value.of(flat), len(split)) if flat else np.zeros(len(split))
-        return pd.DataFrame({"llr": total, "n": sizes})
+        counts = [Counter(words(t)) for t in texts]
+        sizes = np.array([len(c) for c in counts], np.int64)
+        flat = [w for c in counts for w in c]
+        times = np.fromiter((n for c in counts for n in c.values()), np.float64, len(flat))
+        d = shared.value.of(flat)
+        total = np.bincount(np.repeat(np.arange(len(counts)), sizes), d * times, len(counts)) if flat else np.zeros(len(counts))
+        peaks, at = [], 0
+        for n in sizes.tolist():
+            part = d[at : at + n]
+            best = -np.sort(-(part if n <= PEAKS[-1] else np.partition(part, n - PEAKS[-1])[-PEAKS[-1] :]))
+            peaks.append([float(best[k - 1]) if n >= k else 0.0 for k in PEAKS])
+            at += n
+        return pd.DataFrame({"llr": total, "n": [sum(c.values()) for c in counts], "peaks": peaks})
 
     return run
 
@@ -176,60 +260,70 @@ def _scorer(shared):
 def _split_words(frames):
     for pdf in frames:
         for row, text in zip(pdf["_row"], pdf["text"]):
-            counts: dict[bytes, int] = {}
-            for w in words(text):
-                counts[w] = counts.get(w, 0) + 1
+            counts = Counter(words(text))
             if counts:
                 yield pd.DataFrame({"_row": row, "word": [w.decode("utf-8", "replace") for w in counts], "c": list(counts.values())})
 
 
 class KneserNey:
-    """Ratios of the two models and the logistic curve over normalised differences."""
+    """Differences of the two models and the logistic curve over normalised ones."""
 
     def __init__(self, table: DataFrame, curve: np.ndarray, model_rows: int):
         self.table, self.curve, self.model_rows = table, curve, model_rows
         self._shared: dict[str, object] = {}
 
-    def shared(self, column: str):
-        if column not in self._shared:
-            rows = self.table.select("e", F.col(column).alias("r")).where("r <> 0").toPandas()
-            self._shared[column] = self.table.sparkSession.sparkContext.broadcast(Ratios(dict(zip(rows["e"], rows["r"]))))
-        return self._shared[column]
-
-    def llr(self, docs: DataFrame, column: str = "r", text_col: str = "text") -> DataFrame:
-        """docs with _llr (difference of log-likelihoods) and _n (words)."""
+    def first(self, kind: str) -> float:
+        """The difference of a first letter that neither class has seen."""
+        row = self.table.where("e = ''").select(f"v_{kind}").first()
+        return float(row[0]) if row and row[0] is not None else 0.0
+
+    def shared(self, kind: str):
+        if kind not in self._shared:
+            rows = self.table.where("e <> ''").select("e", F.col(f"d_{kind}").alias("d"), F.col(f"v_{kind}").alias("v"))
+            got = rows.mapInPandas(_keys, "e long, d double, v double").toPandas()
+            arrays = [got["e"].to_numpy(np.int64).view(np.uint64), got["d"].to_numpy(np.float64), got["v"].to_numpy(np.float64)]
+            self._shared[kind] = self.table.sparkSession.sparkContext.broadcast(Differences(*arrays, self.first(kind)))
+        return self._shared[kind]
+
+    def differences(self, docs: DataFrame, kind: str = "r", text_col: str = "text") -> DataFrame:
+        """docs with a struct inner("llr"): llr (difference of log-likelihoods), n (words), peaks (differences at PEAKS)."""
         small_batches(docs.sparkSession)
         if self.table.count() <= self.model_rows:
-            s = _scorer(self.shared(column))
-            return docs.withColumn("_s", s(F.col(text_col))).withColumns({"_llr": F.col("_s.llr"), "_n": F.col("_s.n")}).drop("_s")
-        return self._joined(docs, column, text_col)
+            return docs.withColumn(inner("llr"), _scorer(self.shared(kind))(F.col(text_col)))
+        return self._joined(docs, kind, text_col)
 
-    def _joined(self, docs: DataFrame, column: str, text_col: str) -> DataFrame:
-        rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "toxicity-rows")
-        used = rows.select("_row", F.col(text_col).alias("text")).mapInPandas(_split_words, "_row long, word string, c long")
+    def _joined(self, docs: DataFrame, kind: str, text_col: str) -> DataFrame:
+        row = inner("row")
+        rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "toxicity-rows")
+        used = rows.select(F.col(row).alias("_row"), F.col(text_col).alias("text")).mapInPandas(_split_words, "_row long, word string, c long")
         used = materialize(used, "toxicity-words")
-        heads = F.transform(F.sequence(F.lit(1), F.lit(LONGEST)), lambda k: F.substring(F.col("word"), F.lit(1), k))
-        forms = F.array_distinct(F.concat(F.array(F.concat(F.col("word"), F.lit("$"))), F.filter(heads, lambda e: F.length(e) > 2)))
-        ratio = self.table.select("e", F.col(column).alias("_r")).where("_r <> 0")
-        parts = used.select("word").distinct().select("word", F.explode(forms).alias("e")).join(ratio, "e")
-        whole = F.when(F.col("e").endswith("$"), 99).otherwise(F.length("e"))
-        by_word = parts.groupBy("word").agg(F.max_by("_r", whole).alias("_r"))
-        sums = used.join(by_word, "word", "left").groupBy("_row").agg(F.sum(F.col("c") * F.coalesce("_r", F.lit(0.0))).alias("_llr"), F.sum("c").alias("_n"))
-        return rows.join(sums, "_row", "left").withColumns({"_llr": F.coalesce("_llr", F.lit(0.0)), "_n": F.coalesce("_n", F.lit(0))}).drop("_row")
+        model = self.table.select("e", F.col(f"d_{kind}").alias("d"), F.col(f"v_{kind}").alias("v")).where("e <> ''")
+        parts = used.select("word").distinct().select("word", F.posexplode(symbols(F.col("word"))).alias("k", "s")).select("word", "k", "s.e").join(model, "e")
+        known = parts.where("d is not null").groupBy("word").agg(F.sum("d").alias("d"), F.count(F.lit(1)).alias("k"), F.max_by(F.coalesce("v", F.lit(0.0)), "k").alias("v"))
+        length = F.least(F.length("word"), F.lit(LONGEST)) + 1
+        by_word = known.select("word", (F.col("d") + F.when(F.col("k") < length, F.col("v")).otherwise(0.0)).alias("d"))
+        each = used.join(by_word, "word", "left").withColumn("d", F.coalesce("d", F.lit(self.first(kind))))
+        best = Window.partitionBy("_row").orderBy(F.desc("d"))
+        sums = each.groupBy("_row").agg(F.sum(F.col("c") * F.col("d")).alias("llr"), F.sum("c").alias("n"))
+        top = each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= PEAKS[-1])
+        top = top.groupBy("_row").agg(F.array(*[F.coalesce(F.max(F.when(F.col("rank") == k, F.col("d"))), F.lit(0.0)) for k in PEAKS]).alias("peaks"))
+        found = sums.join(top, "_row").select(F.col("_row").alias(row), F.struct("llr", "n", "peaks").alias(inner("llr")))
+        none = F.struct(F.lit(0.0).alias("llr"), F.lit(0).cast("long").alias("n"), F.array(*[F.lit(0.0)] * len(PEAKS)).alias("peaks"))
+        return rows.join(found, row, "left").withColumn(inner("llr"), F.coalesce(F.col(inner("llr")), none)).drop(row)
 
     def score(self, docs: DataFrame, out: str = "score", text_col: str = "text") -> DataFrame:
         """docs with the probability of label 1 of every whole text."""
-        rows = self.llr(docs, "r", text_col)
+        rows = self.differences(docs, "r", text_col)
         z = F.lit(float(self.curve[0]))
-        for w, c in zip(self.curve[1:], features(F.col("_llr"), F.col("_n"))):
+        for w, c in zip(self.curve[1:], features(F.col(inner("llr")))):
             z = z + float(w) * c
-        return rows.withColumn(out, 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z))))).drop("_llr", "_n")
+        return rows.withColumn(out, 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z))))).drop(inner("llr"))
 
 
-def features(llr, n) -> list:
-    """Length-normalised forms of the difference: a word, a root of a word, held, and the length's logarithm."""
-    size = F.greatest(n, F.lit(1)).cast("double")
-    return [10 * llr / size, llr / F.sqrt(size), F.greatest(F.lit(-30.0), F.least(F.lit(30.0), llr)) / 10, F.log(size) / 5]
+def features(of) -> list:
+    """Length-normalised forms of the difference: a word, a root of a word, the most toxic words, and the length's logarithm."""
+    size = F.greatest(of["n"], F.lit(1)).cast("double")
+    return [of["llr"] / size, of["llr"] / F.sqrt(size) / 4, *[of["peaks"][i] / 5 for i in range(len(PEAKS))], F.log(size) / 5]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
@@ -262,29 +356,33 @@ def distinct_texts(texts: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(heads) if known else heads, "_row")
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, model_rows: int = MODEL_ROWS, evidence: float = EVIDENCE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label") -> KneserNey:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, model_rows: int = MODEL_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label") -> KneserNey:
     """Count both models over all labelled documents given, and fit the curve. labels: id and label (0 or 1)."""
     small_batches(docs.sparkSession)
-    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).alias("toxic"), F.max(label_col).alias("_z"))
-    known = materialize(known.where("toxic = _z").select(F.col(id_col).alias("_id"), F.col("toxic").cast("int")), "known")
+    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).alias("toxic"), F.max(label_col).alias("_z"))
+    known = materialize(known.where("toxic = _z").select("_id", F.col("toxic").cast("int")), "known")
     known = F.broadcast(known) if known.count() <= KNOWN_ROWS else known
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(known, "_id")
     texts = materialize(texts.select(F.monotonically_increasing_id().alias("_row"), "text", "toxic"), "labelled")
     one = materialize(distinct_texts(texts), "distinct")
-    n = {f"{'t' if r['toxic'] else 'o'}{r['half']}": r["count"] for r in one.groupBy("toxic", "half").count().collect()}
-    counts = materialize(expression_counts(one.select("text", "toxic", "half")), "expressions")
-    bare = KneserNey(materialize(ratios(counts, n, evidence), "ratios"), np.zeros(5), model_rows)
+    counts = materialize(expression_counts(spread(one.select("text", "toxic", "half"))), "expressions")
+    model = KneserNey(materialize(differences(counts), "differences"), np.zeros(N_FEATURES + 1), model_rows)
     chosen = one.select("_row", "_at").orderBy("_at", "_row").limit(sample).select("_row")
     few = materialize(one.join(F.broadcast(chosen), "_row").select("text", "toxic", "half"), "curve")
     parts = []
     for half in (0, 1):
-        rows = bare.llr(few.where(F.col("half") == half), f"r{half}")
-        parts.append(rows.select("toxic", *[c.alias(f"x{i}") for i, c in enumerate(features(F.col("_llr"), F.col("_n")))]).toPandas())
+        rows = model.differences(spread(few.where(F.col("half") == half)), f"r{half}")
+        parts.append(rows.select("toxic", *[c.alias(f"x{i}") for i, c in enumerate(features(F.col(inner("llr"))))]).toPandas())
     got = pd.concat(parts)
     y = got["toxic"].to_numpy(np.float64)
     if len(y) == 0 or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.5
-        bare.curve = np.r_[np.log(share / (1 - share)), np.zeros(4)]
+        model.curve = np.r_[np.log(share / (1 - share)), np.zeros(N_FEATURES)]
     else:
-        bare.curve = logistic(got[[f"x{i}" for i in range(4)]].to_numpy(np.float64), y)
-    return bare
+        model.curve = logistic(got[[f"x{i}" for i in range(N_FEATURES)]].to_numpy(np.float64), y)
+    return model
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """rows dealt evenly over as many partitions as a shuffle has, however their files are cut."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
