@@ -20,7 +20,7 @@ the number of words and by its root, and that of its PEAKS most toxic different
 one), as one insult in a long text weighs little in the whole. A logistic curve joins them, fitted on at most
 `sample` labelled documents, each scored by models counted without the half of the documents that it belongs to.
 
-The model is broadcast as arrays (32 bytes an expression) if it has at most `model_rows` expressions; above, the
+The model is broadcast as arrays (16 bytes an expression) if it has at most `model_rows` expressions; above, the
 documents' words are joined to it by a shuffle (same scores, no size bound).
 
 Defined results: null texts and texts without words have differences of 0 and length 0; ids labelled both
@@ -195,7 +195,7 @@ def _keys(frames):
         last = heads[np.arange(len(e)), np.clip(sizes - 1, 0, LONGEST - 1)]
         out = pdf.drop(columns="e")
         out.insert(0, "e", np.where(whole, ends, last).view(np.int64))
-        yield out
+        yield out.astype({"d": "float32", "v": "float32"})
 
 
 class Differences:
@@ -280,11 +280,15 @@ class KneserNey:
     def shared(self, kind: str):
         if kind not in self._shared:
             rows = self.table.where("e <> ''").select("e", F.col(f"d_{kind}").alias("d"), F.col(f"v_{kind}").alias("v"))
-            got = rows.mapInPandas(_keys, "e long, d double, v double").toPandas()
-            arrays = [got["e"].to_numpy(np.int64).view(np.uint64), got["d"].to_numpy(np.float64), got["v"].to_numpy(np.float64)]
+            got = rows.mapInPandas(_keys, "e long, d float, v float").toArrow()
+            arrays = [got["e"].to_numpy().view(np.uint64), got["d"].to_numpy().astype(np.float32), got["v"].to_numpy().astype(np.float32)]
             self._shared[kind] = self.table.sparkSession.sparkContext.broadcast(Differences(*arrays, self.first(kind)))
         return self._shared[kind]
 
+    def release(self, kind: str) -> None:
+        if kind in self._shared:
+            self._shared.pop(kind).unpersist()
+
     def differences(self, docs: DataFrame, kind: str = "r", text_col: str = "text") -> DataFrame:
         """docs with a struct inner("llr"): llr (difference of log-likelihoods), n (words), peaks (differences at PEAKS)."""
         small_batches(docs.sparkSession)
@@ -372,7 +376,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, model_rows:
     parts = []
     for half in (0, 1):
         rows = model.differences(spread(few.where(F.col("half") == half)), f"r{half}")
-        parts.append(rows.select("toxic", *[c.alias(f"x{i}") for i, c in enumerate(features(F.col(inner("llr"))))]).toPandas())
+        parts.append(rows.select("toxic", *[c.alias(f"x{i}") for i, c in enumerate(features(F.col(inner("llr"))))]).toArrow().to_pandas())
+        model.release(f"r{half}")
     got = pd.concat(parts)
     y = got["toxic"].to_numpy(np.float64)
     if len(y) == 0 or y.min() == y.max():
