@@ -1,27 +1,31 @@
 """PII by bootstrapped contextual extraction. DataFrame functions only.
 
-Base matches of four kinds (e-mail address, IP address, card number, phone number) are the seeds. The cue of a match, the
-word before it, is a lexical pattern. Cues and values (an e-mail in lower case, or a number's digits) form a
-graph; over ROUNDS a pattern's confidence for a kind is the weighted share of that kind among all values
-that follow it, and an unknown value takes the best confidence of the patterns it follows. Seeds stay at 1,
-matches of their kind's length that failed its test at 0; other failed matches are no evidence. Patterns of at least `support` seed values and a confidence of
-at least `confidence` discover identifiers that the base expressions miss: values of a shape near their kind.
+Base matches of four kinds (e-mail address, IP address, card number, phone number) are the seeds. Every use of a
+value induces lexical patterns: the word before and the word after it with the value's class, either word alone
+with the class, and the value's shape (its class and the lengths of its groups) alone. Patterns and values (an
+e-mail in lower case, or a number's digits) form a graph; over ROUNDS a pattern's confidence for a kind is the weighted
+share of that kind among all values it is seen with, and an unknown value takes the best confidence of its
+patterns. Seeds stay at 1, matches of their kind's length that failed its test at 0; other failed matches are no
+evidence. Patterns of at least `support` seed values and a confidence of at least `confidence` discover
+identifiers that the base expressions miss: values that could be of the kind.
 
 A text is only taken apart by a kind's expression if a cheap test finds what the kind can't do without.
-Expressions start where a run of their characters starts or the last match ended and give nothing back, so
-they take time in proportion to the text.
+Expressions start where a run of their characters starts or the last match ended and give nothing back. Places of
+matches and their overlaps are running sums and extremes over the matches of a text, so all takes time in
+proportion to the text, and a text of many matches is many rows, not one long list, until its spans are returned.
 
 Defined results: null and empty texts have no spans; offsets are code points, the end is exclusive; repeated
 rows and ids get a row each; overlapping spans of different kinds all stay, discovered spans that overlap
-a base span are dropped (a failed match drops none); an empty table gives no rows.
+a base span are dropped (a failed match drops none); a discovered span has the kind of its best pattern, of equally
+good ones the first of KINDS; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import inner, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 # The base expressions, in possessive form where that changes no match
@@ -34,56 +38,40 @@ EXPRESSIONS = {
 }
 NEEDS = {"ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"(?:[0-9][\x20-]?){15}[0-9]"}
 # values that are like an identifier, but need not match a kind
-LIKE_NUMBER = r"(?<![A-Za-z0-9+(])[+(]?[0-9](?:[ ()./:_-]{0,2}[0-9]){6,24}(?![A-Za-z0-9])"
-LIKE_EMAIL = rf"(?<!{LOCAL}){LOCAL}++ ?(?:@|\[at\]|\(at\)) ?[A-Za-z0-9-]++(?: ?(?:\.|\[dot\]|\(dot\)) ?[A-Za-z0-9-]++)*+"
+LIKE = {
+    "number": r"(?<![A-Za-z0-9+(])[+(]?[0-9](?:[ ()./:_-]{0,2}[0-9]){6,24}(?![A-Za-z0-9])",
+    "mail": rf"(?<!{LOCAL}){LOCAL}++ ?(?:@|\[at\]|\(at\)) ?[A-Za-z0-9-]++(?: ?(?:\.|\[dot\]|\(dot\)) ?[A-Za-z0-9-]++)*+",
+}
+MAIL = r"@|\[at\]|\(at\)"
 
 ROUNDS = 3
 SUPPORT = 5
 CONFIDENCE = 0.9
 #: Added to the weight of a pattern's values, against patterns seen but a few times.
 DOUBT = 0.25
-#: Characters before a match in which its cue is sought; matches of a text that are placed together.
-REACH = 48
-CHUNK = 256
-
-
-def placed(text: Column, expression: str) -> Column:
-    """Leftmost non-overlapping matches: array of (start, end, value, before)."""
-    pieces, values = F.split(text, expression, -1), F.regexp_extract_all(text, F.lit(expression), F.lit(0))
-    empty = F.array().cast("array<struct<start:int,end:int,value:string,before:string>>")
-
-    def place(low: Column, upto: Column, start: Column) -> Column:
-        """Walks over matches low to upto - 1."""
-        return F.aggregate(
-            F.sequence(low, upto - 1),
-            F.struct(start.alias("at"), empty.alias("out")),
-            lambda acc, i: F.struct(
-                (acc["at"] + F.length(F.get(pieces, i)) + F.length(F.get(values, i))).alias("at"),
-                F.concat(
-                    acc["out"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + F.length(F.get(pieces, i))).alias("start"),
-                            (acc["at"] + F.length(F.get(pieces, i)) + F.length(F.get(values, i))).alias("end"),
-                            F.get(values, i).alias("value"),
-                            F.right(F.get(pieces, i), F.lit(REACH)).alias("before"),
-                        )
-                    ),
-                ).alias("out"),
-            ),
-        )
-
-    n = F.size(values)
-    whole = F.aggregate(
-        F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int")),
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, c: _joined(acc, place(c * CHUNK, F.least(n, (c + 1) * CHUNK), acc["at"])),
+#: Code points of a block of a text that is being masked.
+BLOCK = 1024
+
+
+def matches_of(text: Column, name: str, expression: str) -> Column:
+    """Leftmost non-overlapping matches: array of (name, pos, gap before it, size, value, word before, word after)."""
+    parts, values = F.split(text, expression, -1), F.regexp_extract_all(text, F.lit(expression), F.lit(0))
+    each = F.slice(F.arrays_zip(parts, F.slice(parts, 2, F.size(parts)), values), 1, F.size(values))
+    return F.transform(
+        each,
+        lambda z, i: F.struct(
+            F.lit(name).alias("name"),
+            i.alias("pos"),
+            F.length(z["0"]).alias("gap"),
+            F.length(z["2"]).alias("size"),
+            z["2"].alias("value"),
+            F.lower(F.regexp_extract(z["0"], r"(?<!\S)(\S++)[ \t]*+\z", 1)).alias("left"),
+            F.lower(F.regexp_extract(z["1"], r"\A[ \t]*+(\S++)", 1)).alias("right"),
+        ),
     )
-    return F.when(n > 0, whole["out"]).otherwise(empty)
 
 
-def _joined(acc: Column, part: Column) -> Column:
-    return F.struct(part["at"].alias("at"), F.concat(acc["out"], part["out"]).alias("out"))
+MATCH = "array<struct<name:string,pos:int,gap:int,size:int,value:string,left:string,right:string>>"
 
 
 def digits(value: Column) -> Column:
@@ -117,7 +105,7 @@ def _at_most_255(part: Column) -> Column:
 def near_shape(kind: str, value: Column) -> Column:
     """Whether an unknown value could be of the kind."""
     n = F.length(digits(value))
-    mail = value.rlike(r"@|\[at\]|\(at\)")
+    mail = value.rlike(MAIL)
     if kind == "email":
         return mail
     if kind == "ip":
@@ -127,81 +115,145 @@ def near_shape(kind: str, value: Column) -> Column:
     return ~mail & n.between(7, 15) & ~value.rlike(r"^[0-9]+\.[0-9]+\.[0-9]+")
 
 
-def value_of(value: Column) -> Column:
-    return F.when(value.rlike(r"@|\[at\]|\(at\)"), F.lower(F.regexp_replace(F.regexp_replace(value, r" ?[\[(]at[\])] ?", "@"), r" ?[\[(]dot[\])] ?", "."))).otherwise(digits(value))
+def plain_mail(value: Column) -> Column:
+    return F.lower(F.regexp_replace(F.regexp_replace(value, r" ?(?:@|\[at\]|\(at\)) ?", "@"), r" ?(?:\.|\[dot\]|\(dot\)) ?", "."))
 
 
-def cue_of(before: Column) -> Column:
-    """The word before, in lower case; empty at the beginning of a text or after a line's end."""
-    return F.lower(F.regexp_extract(before, r"([^\s]+)[ \t]*$", 1))
+def value_of(value: Column) -> Column:
+    return F.when(value.rlike(MAIL), plain_mail(value)).otherwise(digits(value))
+
 
+def class_of(value: Column) -> Column:
+    """A value's class: mail, dotted, or a number by how many digits it has."""
+    n = F.length(digits(value))
+    dotted = value.rlike(r"^[0-9]+[.:][0-9]+[.:][0-9]+[.:][0-9]+")
+    return F.when(value.rlike(MAIL), "mail").when(dotted, "dotted").when(n < 13, "number").when(n < 16, "long number").when(n < 20, "card number").otherwise("longer number")
+
+
+def shape_of(value: Column) -> Column:
+    """Class and the lengths of the groups of digits, or of an address its parts."""
+    groups = F.regexp_replace(F.regexp_replace(value, "^[^0-9]+", ""), "[^0-9]+", "-")
+    mail = F.regexp_replace(plain_mail(value), r"[^.@]+", "a")
+    return F.concat_ws(" ", class_of(value), F.when(value.rlike(MAIL), mail).otherwise(F.regexp_replace(groups, "[0-9]", "9")))
+
+
+def patterns_of(left: Column, right: Column, value: Column) -> Column:
+    """The patterns of a use: array of (left, right, shape), where null stands for anything."""
+    kind = class_of(value)
+    nothing = F.lit(None).cast("string")
+    pattern = lambda a, b, s: F.struct(a.alias("left"), b.alias("right"), s.alias("shape"))
+    has_left, has_right = left != "", right != ""
+    every = F.array(
+        pattern(nothing, nothing, shape_of(value)),
+        F.when(has_left, pattern(left, nothing, kind)),
+        F.when(has_right, pattern(nothing, right, kind)),
+        F.when(has_left & has_right, pattern(left, right, kind)),
+    )
+    return F.array_compact(every)
 
-def found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """_row, id, matches (kind, fine, seed, start, end, value, cue) and unknown values of the like (start, end, value, cue, known), for every row.
 
-    seed: the match passed its test or is of its kind's length; known: a failed seed in the same place has the unknown's value.
-    """
+def texts_apart(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """_row, id, found (matches of the base expressions and of what is like an identifier) of every row, stored."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    none = F.array().cast("array<struct<start:int,end:int,value:string,before:string>>")
+    none = F.array().cast(MATCH)
     at, plus = F.contains(text, F.lit("@")), F.contains(text, F.lit("+"))
     able = {"email": at, "ip": text.rlike(NEEDS["ip"]), "card": text.rlike(NEEDS["card"]), "phone": plus}
-    columns = {f"_{k}": F.when(able[k], placed(text, EXPRESSIONS[k])).otherwise(none) for k in KINDS}
-    marked = at | F.contains(text, F.lit("[at]")) | F.contains(text, F.lit("(at)"))
-    columns["_like"] = F.concat(F.when(text.rlike(LIKE_NUMBER), placed(text, LIKE_NUMBER)).otherwise(none), F.when(marked, placed(text, LIKE_EMAIL)).otherwise(none))
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"), *[c.alias(n) for n, c in columns.items()])
-
-    def tagged(kind: str) -> Column:
-        return F.transform(F.col(f"_{kind}"), lambda m: F.struct(F.lit(kind).alias("kind"), fine(kind, m["value"]).alias("fine"), of_length(kind, m["value"]).alias("seed"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"), cue_of(m["before"]).alias("cue")))
-
-    rows = rows.select("_row", "id", F.concat(*[tagged(k) for k in KINDS]).alias("matches"), "_like")
-    over = lambda m, u: (m["start"] < u["end"]) & (u["start"] < m["end"])
-    clear = F.filter("_like", lambda u: ~F.exists("matches", lambda m: m["fine"] & over(m, u)))
-    known = lambda u: F.exists("matches", lambda m: m["seed"] & ~m["fine"] & over(m, u) & (value_of(m["value"]) == value_of(u["value"])))
-    return rows.select("_row", "id", "matches", F.transform(clear, lambda u: F.struct(u["start"].alias("start"), u["end"].alias("end"), u["value"].alias("value"), cue_of(u["before"]).alias("cue"), known(u).alias("known"))).alias("unknown"))
-
-
-def patterns(rows: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
-    """cue, kind, conf: the patterns of high confidence. rows: found()."""
-    seeds = rows.select(F.explode("matches").alias("m")).where("m.seed").select("m.cue", value_of(F.col("m.value")).alias("inst"), F.when(F.col("m.fine"), F.col("m.kind")).alias("kind"), F.lit(True).alias("base"))
-    others = rows.select(F.explode("unknown").alias("u")).where("not u.known").select("u.cue", value_of(F.col("u.value")).alias("inst"), F.lit(None).cast("string").alias("kind"), F.lit(False).alias("base"))
-    uses = seeds.unionByName(others).where("cue <> ''").groupBy("cue", "inst").agg(
-        F.count(F.lit(1)).alias("n"), *[F.max((F.col("kind") == k).cast("double")).alias(f"k_{k}") for k in KINDS], F.max("base").alias("base")
-    )
-    known = uses.groupBy("inst").agg(*[F.coalesce(F.max(f"k_{k}"), F.lit(0.0)).alias(f"s_{k}") for k in KINDS], F.max("base").alias("fixed"))
-    edges = materialize(uses.select("cue", "inst", F.sqrt("n").alias("w")).join(known, "inst"), "pii-edges")
+    able |= {"number": text.rlike(LIKE["number"]), "mail": at | F.contains(text, F.lit("[at]")) | F.contains(text, F.lit("(at)"))}
+    every = {**EXPRESSIONS, **LIKE}
+    lists = [F.when(able[k], matches_of(text, k, every[k])).otherwise(none).alias(k) for k in every]
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"), *lists)
+    return materialize(rows.select("_row", "id", F.concat(*every).alias("found")), "pii-texts")
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """A row a match: _row, name, start, end, value, left, right, inst, fine (passed its kind's test), seed (or of its length). Unknown values are those named by LIKE;
+    they are left out where they overlap a fine match, or repeat a failed seed. rows: texts_apart()."""
+    each = rows.select("_row", F.explode("found").alias("m")).select("_row", "m.*")
+    upto = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("_row", "name").orderBy("pos")).cast("int")
+    each = each.select("_row", "name", (upto - F.col("size")).alias("start"), upto.alias("end"), "value", "left", "right", value_of(F.col("value")).alias("inst"))
+    passed = seed = F.lit(False)
+    for k in KINDS:
+        passed = F.when(F.col("name") == k, fine(k, F.col("value"))).otherwise(passed)
+        seed = F.when(F.col("name") == k, of_length(k, F.col("value"))).otherwise(seed)
+    each = each.withColumns({"fine": passed, "seed": seed | passed})
+    before = Window.partitionBy("_row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    behind = Window.partitionBy("_row").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, -1)
+    reach = F.max(F.when(F.col("fine"), F.col("end"))).over(before)
+    ahead = F.min(F.when(F.col("fine"), F.col("start"))).over(behind)
+    failed = F.max(F.col("seed") & ~F.col("fine")).over(Window.partitionBy("_row", "inst"))
+    each = each.withColumns({"covered": F.coalesce(reach > F.col("start"), F.lit(False)) | F.coalesce(ahead < F.col("end"), F.lit(False)), "failed": failed})
+    return each.where(F.col("name").isin(*KINDS) | (~F.col("covered") & ~F.col("failed"))).drop("covered", "failed")
 
-    def scored(e: DataFrame) -> DataFrame:
-        weigh = [(F.sum(F.col("w") * F.col(f"s_{k}")) / (F.sum("w") + DOUBT)).alias(f"c_{k}") for k in KINDS]
-        held = [F.sum(F.when(F.col("fixed") & (F.col(f"s_{k}") > 0), 1).otherwise(0)).alias(f"n_{k}") for k in KINDS]
-        return e.groupBy("cue").agg(*weigh, *held)
 
+def graph(matches: DataFrame, hidden: Column | None = None) -> DataFrame:
+    """Edges (left, right, shape, inst) with w (weight), s_* (score by kind), fixed; stored. hidden: seeds that are to count as unknown (of inst)."""
+    seed = F.col("seed") & ~hidden if hidden is not None else F.col("seed")
+    kind = F.when(F.col("fine") & seed, F.col("name"))
+    uses = matches.where(seed | ~F.col("name").isin(*KINDS) | F.col("fine")).select(F.explode(patterns_of(F.col("left"), F.col("right"), F.col("value"))).alias("p"), "inst", kind.alias("kind"), seed.alias("seed"))
+    edges = uses.groupBy("p.left", "p.right", "p.shape", "inst").agg(F.count(F.lit(1)).alias("n"), *[F.max((F.col("kind") == k).cast("double")).alias(f"k_{k}") for k in KINDS], F.max("seed").alias("seed"))
+    known = edges.groupBy("inst").agg(*[F.coalesce(F.max(f"k_{k}"), F.lit(0.0)).alias(f"s_{k}") for k in KINDS], F.max("seed").alias("fixed"))
+    return materialize(edges.select("left", "right", "shape", "inst", F.sqrt("n").alias("w")).join(known, "inst"), "pii-edges")
+
+
+def scored(edges: DataFrame) -> DataFrame:
+    """Patterns with c_* (confidence by kind) and n_* (seed values of the kind)."""
+    weigh = [(F.sum(F.col("w") * F.col(f"s_{k}")) / (F.sum("w") + DOUBT)).alias(f"c_{k}") for k in KINDS]
+    held = [F.sum(F.when(F.col("fixed") & (F.col(f"s_{k}") > 0), 1).otherwise(0)).alias(f"n_{k}") for k in KINDS]
+    return edges.groupBy("left", "right", "shape").agg(*weigh, *held)
+
+
+def same_pattern(a: DataFrame, b: DataFrame):
+    return a["left"].eqNullSafe(b["left"]) & a["right"].eqNullSafe(b["right"]) & (a["shape"] == b["shape"])
+
+
+def patterns(edges: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
+    """left, right, shape, kind, conf: the patterns of high confidence. edges: graph()."""
     now = edges
     for _ in range(rounds - 1):
-        lent = now.where(~F.col("fixed")).select("cue", "inst").join(scored(now), "cue").groupBy("inst").agg(*[F.max(f"c_{k}").alias(f"l_{k}") for k in KINDS])
-        now = now.join(lent, "inst", "left").select("cue", "inst", "w", "fixed", *[F.when(F.col("fixed"), F.col(f"s_{k}")).otherwise(F.coalesce(F.col(f"l_{k}"), F.lit(0.0))).alias(f"s_{k}") for k in KINDS])
+        unknown, lending = now.where(~F.col("fixed")).select("left", "right", "shape", "inst"), scored(now)
+        lent = unknown.join(lending, same_pattern(unknown, lending)).groupBy("inst").agg(*[F.max(f"c_{k}").alias(f"l_{k}") for k in KINDS])
+        now = now.join(lent, "inst", "left").select("left", "right", "shape", "inst", "w", "fixed", *[F.when(F.col("fixed"), F.col(f"s_{k}")).otherwise(F.coalesce(F.col(f"l_{k}"), F.lit(0.0))).alias(f"s_{k}") for k in KINDS])
         now = materialize(now, "pii-edges")
-    last = scored(now)
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"c_{k}").alias("conf"), F.col(f"n_{k}").alias("n")) for k in KINDS]))
-    return last.select("cue", each.alias("p")).select("cue", "p.*").where((F.col("conf") >= confidence) & (F.col("n") >= support)).select("cue", "kind", "conf")
+    return scored(now).select("left", "right", "shape", each.alias("p")).select("left", "right", "shape", "p.*").where((F.col("conf") >= confidence) & (F.col("n") >= support)).drop("n")
 
 
-def extract(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, base and spans: arrays of (kind, start, end) in the order of KINDS, then start; spans holds base and discovered ones."""
-    rows = materialize(found(docs, id_col, text_col), "pii")
-    good = materialize(patterns(rows, support, confidence), "pii-patterns")
-    unknown = rows.select("_row", F.explode("unknown").alias("u")).select("_row", "u.*").where("cue <> ''")
+def discovered(unknown: DataFrame, good: DataFrame) -> DataFrame:
+    """_row, kind, start, end, value of the unknown matches that a pattern of high confidence finds."""
+    uses = unknown.select("_row", "start", "end", "value", F.explode(patterns_of(F.col("left"), F.col("right"), F.col("value"))).alias("p")).select("_row", "start", "end", "value", "p.*")
     shape = F.lit(False)
     for k in KINDS:
         shape = F.when(F.col("kind") == k, near_shape(k, F.col("value"))).otherwise(shape)
-    new = unknown.join(good, "cue").where(shape).groupBy("_row").agg(F.collect_set(F.struct("kind", "start", "end")).alias("new"))
-    base = F.transform(F.filter("matches", lambda m: m["fine"]), lambda m: F.struct(m["kind"].alias("kind"), m["start"].alias("start"), m["end"].alias("end")))
-    out = rows.select("_row", "id", base.alias("base")).join(new, "_row", "left")
-    return out.select(F.col("id").alias(id_col), "base", ordered(F.concat("base", F.coalesce("new", F.slice("base", 1, 0)))).alias("spans"))
+    hits = uses.join(good, same_pattern(uses, good)).where(shape).select("_row", "start", "end", "value", "kind", "conf")
+    return hits.groupBy("_row", "start", "end", "value").agg(F.max(F.struct("conf", (-number_of(F.col("kind"))).alias("i"), "kind"))["kind"].alias("kind"))
+
 
+def number_of(kind: Column) -> Column:
+    return F.array_position(F.array(*[F.lit(k) for k in KINDS]), kind)
 
-def ordered(spans: Column) -> Column:
-    number = lambda s: F.struct(F.array_position(F.array(*[F.lit(k) for k in KINDS]), s["kind"]).alias("i"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
-    return F.transform(F.array_sort(F.transform(spans, number)), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+
+def span_rows(docs: DataFrame, support: int, confidence: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(_row, id) of every row, and a row a span: _row, kind, start, end, base."""
+    rows = texts_apart(docs, id_col, text_col)
+    matches = materialize(placed(rows), "pii-matches")
+    good = materialize(patterns(graph(matches), support, confidence), "pii-patterns")
+    base = matches.where(F.col("fine")).select("_row", F.col("name").alias("kind"), "start", "end", F.lit(True).alias("base"))
+    new = discovered(matches.where(~F.col("name").isin(*KINDS)), good).select("_row", "kind", "start", "end", F.lit(False).alias("base"))
+    return rows.select("_row", "id"), base.unionByName(new)
+
+
+SPANS = "array<struct<kind:string,start:int,end:int>>"
+
+
+def extract(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, base and spans: arrays of (kind, start, end) in the order of KINDS, then start; spans holds base and discovered ones."""
+    rows, each = span_rows(docs, support, confidence, id_col, text_col)
+    place = F.struct(number_of(F.col("kind")).alias("i"), "start", "end", "kind", "base")
+    lists = each.groupBy("_row").agg(F.sort_array(F.collect_list(place)).alias("all"))
+    bare = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
+    lists = lists.select("_row", F.transform(F.filter("all", lambda s: s["base"]), bare).alias("base"), F.transform("all", bare).alias("spans"))
+    none = F.array().cast(SPANS)
+    return rows.join(lists, "_row", "left").select(F.col("id").alias(id_col), F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans"))
 
 
 def written(spans: Column) -> Column:
@@ -209,28 +261,68 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in angle brackets; overlapping spans are one, of the first's kind by start."""
-    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("less"), s["kind"].alias("kind"))))
-    walk = F.aggregate(
-        by_start,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, s: F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], -s["less"]).alias("at"), acc["out"].alias("out"))).otherwise(
-            F.struct((-s["less"]).alias("at"), F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("<"), s["kind"], F.lit(">")))).alias("out"))
-        ),
-    )
-    return F.when(F.size(spans) > 0, F.concat(F.array_join(walk["out"], ""), F.substring(text, walk["at"] + 1, F.length(text)))).otherwise(text)
+def unions(each: DataFrame) -> DataFrame:
+    """_row, cuts: the text's spans as an array of (after, start, end, kind); overlapping ones are one, of the first's kind by start; after is the end of the one before."""
+    order = Window.partitionBy("_row").orderBy("start", F.desc("end"), "kind")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = each.withColumn("new", (F.col("start") >= F.coalesce(reach, F.lit(0))).cast("int"))
+    numbered = new.withColumn("part", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = numbered.groupBy("_row", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max_by("kind", "new").alias("kind"))
+    after = F.coalesce(F.lag("end").over(Window.partitionBy("_row").orderBy("start")), F.lit(0))
+    return whole.withColumn("after", after).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("after", "start", "end", "kind"))).alias("cuts"))
+
+
+def masked(text: Column, cuts: Column) -> Column:
+    """The text with the cuts of unions() replaced by their kinds in angle brackets. Works on blocks of the text, in proportion to it."""
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def between(b: Column, low: Column, high: Column) -> Column:
+        """Code points low to high - 1 of blocks b."""
+        first, last = F.floor(low / BLOCK).cast("int"), F.floor(high / BLOCK).cast("int")
+        inside = F.array_join(F.slice(b, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        head = F.coalesce(F.substring(F.get(b, first), low % BLOCK + 1, F.when(first == last, high - low).otherwise(F.lit(BLOCK))), F.lit(""))
+        tail = F.when(last > first, F.coalesce(F.substring(F.get(b, last), F.lit(1), high % BLOCK), F.lit(""))).otherwise("")
+        return F.concat(head, inside, tail)
+
+    def whole(b: Column) -> Column:
+        parts = F.transform(cuts, lambda c: F.concat(between(b, c["after"], c["start"]), F.lit("<"), c["kind"], F.lit(">")))
+        end = F.element_at(cuts, -1)["end"]
+        return F.concat(F.array_join(parts, ""), between(b, end, F.size(b) * BLOCK))
+
+    # the outer transform names the blocks, so that they are cut once
+    return F.get(F.transform(F.array(blocks), whole), F.lit(0))
 
 
 def redact(docs: DataFrame, broadcast_rows: int, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """docs with all spans masked and chars_col, if there, the new length. Texts without spans (and null ones) stay as they are."""
-    hashed = docs.withColumn("_hash", F.xxhash64(text_col))
-    found = extract(hashed.withColumn("_key", F.struct(F.col(id_col).alias("id"), "_hash")), id_col="_key", text_col=text_col)
-    few = materialize(found.where(F.size("spans") > 0).select(F.col("_key.id").alias("_id"), F.col("_key._hash").alias("_own"), F.col("spans").alias("_spans")).dropDuplicates(["_id", "_own"]), "pii-spans")
+    digest, name, own, cuts = inner("hash"), inner("id"), inner("own"), inner("cuts")
+    hashed = docs.withColumn(digest, F.xxhash64(text_col))
+    keyed = hashed.select(F.struct(F.col(id_col).alias("id"), F.col(digest).alias("hash")).alias("key"), F.col(text_col).alias("text"))
+    rows, each = span_rows(keyed, SUPPORT, CONFIDENCE, "key", "text")
+    found = rows.join(unions(each), "_row").select(F.col("id.id").alias(name), F.col("id.hash").alias(own), F.col("cuts").alias(cuts))
+    few = materialize(found.dropDuplicates([name, own]), "pii-spans")
     few = F.broadcast(few) if few.count() <= broadcast_rows else few
-    joined = hashed.join(few, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_own")), "left")
-    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(masked(F.col(text_col), F.col("_spans")))
+    joined = hashed.join(few, F.col(id_col).eqNullSafe(F.col(name)) & (F.col(digest) == F.col(own)), "left")
+    text = F.when(F.col(cuts).isNull(), F.col(text_col)).otherwise(masked(F.col(text_col), F.col(cuts)))
     out = joined.withColumn(text_col, text)
     if chars_col in docs.columns:
-        out = out.withColumn(chars_col, F.when(F.col("_spans").isNull(), F.col(chars_col)).otherwise(F.length(text_col).cast("long")))
+        out = out.withColumn(chars_col, F.when(F.col(cuts).isNull(), F.col(chars_col)).otherwise(F.length(text_col).cast("long")))
     return out.select(*docs.columns)
+
+
+def rediscovery(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A measure of the patterns: a fifth of the seed values (by hash) is hidden from the graph and sought by what the others induce.
+
+    kind, hidden (uses of hidden values of that kind), found (those found as that kind), wrong (uses found as that kind that are none: a fine
+    value of another kind, or one that failed its kind's test).
+    """
+    away = F.pmod(F.xxhash64("inst"), F.lit(5)) == 0
+    matches = materialize(placed(texts_apart(docs, id_col, text_col)), "pii-matches")
+    good = materialize(patterns(graph(matches, away), support, confidence), "pii-patterns")
+    sought = matches.where(F.col("name").isin(*KINDS) & ((F.col("fine") & away) | (F.col("seed") & ~F.col("fine"))))
+    got = discovered(sought, good).select("_row", "start", "end", "kind")
+    judged = sought.select("_row", "start", "end", "name", "fine").join(got, ["_row", "start", "end"], "left")
+    hidden = judged.where("fine").groupBy(F.col("name").alias("kind")).agg(F.count(F.lit(1)).alias("hidden"), F.count_if(F.col("kind") == F.col("name")).alias("found"))
+    right = F.max(F.col("fine") & (F.col("kind") == F.col("name"))).over(Window.partitionBy("_row", "start", "end"))
+    wrong = judged.where("kind is not null").withColumn("right", right).where(~F.col("right")).groupBy("kind").agg(F.countDistinct("_row", "start", "end").alias("wrong"))
+    return hidden.join(wrong, "kind", "full").select("kind", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("hidden", "found", "wrong")])
