@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from tidemark.llm import page_outcomes
+from tidemark.llm.url_reputation import SUFFIXES
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 TOP_K = """
@@ -48,18 +51,66 @@ def _rules(rules: list[tuple[str, str]]) -> tuple[str, str]:
     return "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, _, r in cases) + " END", "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for c, v, _ in cases) + " END"
 
 
+def _counts(text: str) -> str:
+    own = f"string_split({text}, ' ')"
+    each = [f"length({text}) - length(regexp_replace({text}, '[{c}]', '', 'g')) AS c_{k}" for k, c in page_outcomes.COUNTED.items()]
+    return ", ".join([f"greatest(length({text}), 1) AS size", *each, f"len(list_distinct({own})) AS c_distinct", f"len({own}) AS c_words"])
+
+
+def _bins() -> str:
+    """(statistic, bin) from the columns of _counts(), as a list of structs."""
+    whole = {k: "size" for k in (*page_outcomes.COUNTED, "gaps")} | {"distinct": "c_words", "words": "1000"}
+    reached = {k: " + ".join(f"CAST(1000 * c_{'words' if k == 'gaps' else k} >= {of} * {e} AS INTEGER)" for e in page_outcomes.EDGES) for k, of in whole.items()}
+    return "[" + ", ".join(f"{{'s': '{k}', 'b': {v}}}" for k, v in reached.items()) + "]"
+
+
+def _article() -> str:
+    article = f"regexp_extract(html, '{page_outcomes.ARTICLE}', 1)"
+    return f"CASE WHEN {article} = '' THEN regexp_replace(html, '{page_outcomes.HIDDEN}', ' ', 'g') ELSE {article} END"
+
+
+def _page_text(html: str) -> str:
+    text = f"regexp_replace({html}, '{page_outcomes.TAG}', ' ', 'g')"
+    for name, character in page_outcomes.REFERENCES:
+        text = f"replace({text}, '{name}', '{character.replace(chr(39), chr(39) * 2)}')"
+    return _spaced(text)
+
+
+def _spaced(text: str) -> str:
+    return f"trim(regexp_replace(coalesce({text}, ''), '{page_outcomes.BLANK}', ' ', 'g'))"
+
+
 def url_reputation(rules: list[tuple[str, str]], z: float = 1.645, block_at: float = 0.5) -> str:
     rule, verdict = _rules(rules)
     bare = "regexp_replace(host, ':[0-9]*$', '')"
-    last = lambda n: f"array_to_string(string_split({bare}, '.')[-{n}:], '.')"
-    part = lambda n: f"CASE WHEN regexp_matches({bare}, '^[0-9.]+$') THEN {bare} ELSE {last(n)} END"
+    numeric = f"regexp_matches({bare}, '^[0-9.]+$')"
+    ends = ", ".join(f"'{s}'" for s in SUFFIXES)
+    known = f"list_sort(list_filter([{ends}], lambda s: {bare} = s OR ends_with({bare}, '.' || s)), 'DESC')"
+    n_labels = "len(string_split(last_part, '.'))"
+    edges = len(page_outcomes.EDGES)
+    odds = lambda c: f"ln((count(*) FILTER (label = {c}) + 1) / ((SELECT n{c} FROM n) + {edges + 1}.0e0))"
+    unseen = f"ln(1 / ((SELECT n0 FROM n) + {edges + 1}.0e0)) - ln(1 / ((SELECT n1 FROM n) + {edges + 1}.0e0))"
     return f"""
-WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+WITH known AS (SELECT DISTINCT doc_id, quality AS label FROM labels WHERE quality IN (0, 1)),
+td AS MATERIALIZED (SELECT label, {_spaced('text')} AS t FROM documents JOIN known USING (doc_id)),
+n AS (SELECT count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1 FROM td),
+tc AS MATERIALIZED (SELECT label, {_counts('t')} FROM td),
+tb AS (SELECT label, unnest({_bins()}) AS x FROM tc),
+odds AS (SELECT x.s AS s, x.b AS b, {odds(0)} - {odds(1)} AS o FROM tb GROUP BY 1, 2),
+pa AS MATERIALIZED (SELECT page_id, {_article()} AS t FROM pages),
+pt AS MATERIALIZED (SELECT page_id, {_page_text('t')} AS t FROM pa),
+pc AS MATERIALIZED (SELECT page_id, {_counts('t')} FROM pt WHERE t <> ''),
+pb AS (SELECT page_id, unnest({_bins()}) AS x FROM pc),
+ps AS (SELECT page_id, ln(((SELECT n0 FROM n) + 1.0e0) / ((SELECT n1 FROM n) + 1)) + sum(coalesce(o, {unseen})) AS z FROM pb LEFT JOIN odds ON odds.s = x.s AND odds.b = x.b GROUP BY 1),
+bads AS (SELECT page_id, CASE WHEN regexp_matches({_LOWER.format("coalesce(url, '')")}, '(^|[^a-z])({'|'.join(page_outcomes.BAD_WORDS)})([^a-z]|$)') THEN 1
+  WHEN (SELECT least(n0, n1) FROM n) > 0 THEN CAST(z > 0 AS INTEGER) END AS bad FROM pages LEFT JOIN ps USING (page_id)),
+u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
 h AS (SELECT page_id, rest, regexp_extract(rest, '^([^/?#]*)', 1) AS raw FROM u),
 p AS (SELECT page_id, coalesce({_LOWER.format('raw')}, '') AS host, coalesce(regexp_extract(substr(rest, length(raw) + 1), '^([^?#]*)', 1), '') AS path FROM h),
-l AS (SELECT doc_id, max(1 - quality) AS bad FROM labels GROUP BY 1),
-q AS (SELECT page_id, host, path, l.bad FROM p LEFT JOIN l ON TRY_CAST(nullif(regexp_extract(path, '/([0-9]{{1,18}})(?:[.]html|/)?$', 1), '') AS BIGINT) = l.doc_id),
-hosts AS (SELECT host, {part(2)} AS domain, {part(1)} AS suffix, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS b FROM q GROUP BY 1),
+q AS (SELECT page_id, host, path, bad FROM p JOIN bads USING (page_id)),
+parts AS (SELECT host, bad, coalesce(({known})[1], string_split({bare}, '.')[-1]) AS last_part FROM q),
+hosts AS (SELECT host, any_value(CASE WHEN {numeric} THEN {bare} ELSE array_to_string(string_split({bare}, '.')[-({n_labels} + 1):], '.') END) AS domain,
+  any_value(CASE WHEN {numeric} THEN {bare} ELSE last_part END) AS suffix, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS b FROM parts GROUP BY 1),
 whole AS (SELECT sum(n) AS n, (sum(b) + 0.5e0) / (sum(n) + 1) AS rate FROM hosts),
 s0 AS (SELECT suffix, sum(n) AS sn, sum(b) AS sb, any_value(rate) AS m0 FROM hosts, (SELECT rate FROM whole) GROUP BY 1),
 k0 AS ({_strength('s0', 'sn', 'sb', 'm0')}),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, near_dedup, oracles, packing, pii, rule_ensemble, sharding, token_counts, topk, toxicity, url_reputation
+from tidemark.llm import decontamination, near_dedup, oracles, packing, page_outcomes, pii, rule_ensemble, sharding, token_counts, topk, toxicity, url_reputation
 from tidemark.llm.common import materialize, small_batches, table
 from tidemark.llm.tokens import token_counter
 
@@ -74,18 +74,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pages with `bad`: 1 where the document that the url's path numbers is labelled of low quality, 0 where of high, else null."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    _, path = url_reputation.url_parts(F.col("url"))
-    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(1 - F.col("quality")).alias("bad"))
-    number = F.expr("try_cast(regexp_extract(_path, '/([0-9]{1,18})(?:[.]html|/)?$', 1) as bigint)")
-    named = pages.withColumn("_path", path).withColumn("_doc", number).drop("_path")
-    return named.join(labels, named["_doc"] == labels["doc_id"], "left").select("page_id", "url", "bad")
-
-
 def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = url_reputation.judge(page_outcomes(spark, sf_dir), URL_RULES, "bad")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    judge = page_outcomes.learn(table(spark, sf_dir, "documents"), labels)
+    pages = page_outcomes.outcomes(table(spark, sf_dir, "pages").select("page_id", "url", "html"), judge, "bad")
+    judged = url_reputation.judge(pages, URL_RULES, "bad")
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
