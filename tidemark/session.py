@@ -30,6 +30,17 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     return builder.getOrCreate()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Only in local mode, where there are no other machines, one is made if it is unset."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the executors, once an application, so that it need not be installed on them."""
     app = spark.sparkContext.applicationId
