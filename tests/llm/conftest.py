@@ -3,7 +3,8 @@ import random
 import pytest
 
 WORDS = ["amber", "basalt", "cedar", "delta", "ember", "fjord", "garnet", "harbor", "iris", "juniper", "kelp", "linen", "moss", "nectar", "onyx", "pebble", "quartz", "river", "slate", "thyme"]
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, shard int, spans string, key long, id long, n long, label int, bucket int, size long"
+CLASHING = ["_row", "_key", "_hash", "_spans", "_stats", "_score", "_llr", "_n", "_s", "_id", "_own", "_salt"]
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, shard int, spans string, key long, id long, n long, label int, bucket int, size long, " + ", ".join(f"{c} int" for c in CLASHING)
 
 
 def prose(seed: int, n: int) -> str:
@@ -29,7 +30,7 @@ EDGE = [
 
 def docs_of(spark, rows):
     """documents with more columns, whose names the operators use inside."""
-    return spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t), 0.5, 1, "x", 2, 3, 4, 1, 5, 6) for i, t in rows], DOCS)
+    return spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t), 0.5, 1, "x", 2, 3, 4, 1, 5, 6, *[7] * len(CLASHING)) for i, t in rows], DOCS)
 
 
 @pytest.fixture(scope="session")

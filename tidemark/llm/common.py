@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import shared_dir
+
 #: Most salts a group is spread over by gapless_rank(); bounds its table of offsets to groups x SALTS rows.
 SALTS = 4096
 #: Rows that one salt of gapless_rank() is meant to hold while the number of salts is below SALTS.
@@ -17,15 +20,6 @@ ROWS_PER_SALT = 256
 _written: list[tuple[SparkSession, str]] = []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or (only where that is unset, as in tests) a local one."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
-
-
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
@@ -46,10 +40,37 @@ def _remove_written() -> None:
             return
 
 
-def small_batches(spark: SparkSession, rows: int = 1024, size: str = "8m") -> None:
-    """Bound what one Arrow batch holds, so that a run of very long texts doesn't swell a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+_BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+@contextmanager
+def batches(spark: SparkSession, rows: int = 1024, size: str = "8m") -> Iterator[None]:
+    """Bound what one Arrow batch holds, so that a run of very long texts doesn't swell a Python worker; for what is written inside, the caller's settings return."""
+    before = [spark.conf.get(k, None) for k in _BATCH]
+    for k, v in zip(_BATCH, (str(rows), size)):
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in zip(_BATCH, before):
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """The bounds of batches() for results that are returned unwritten; they hold in the session from then on, where the caller's are not smaller."""
+    rows, size = 1024, 8 << 20
+    have_rows, have_size = (spark.conf.get(k, None) for k in _BATCH)
+    if have_rows is None or not 0 < int(have_rows) <= rows:
+        spark.conf.set(_BATCH[0], str(rows))
+    if have_size is None or not 0 < in_bytes(have_size) <= size:
+        spark.conf.set(_BATCH[1], str(size))
+
+
+def in_bytes(text: str) -> int:
+    """Bytes of a size as Spark writes it: a number, with a unit or none."""
+    number = text.strip().lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(number[-1:], 0)
+    return int(number[:-1] if unit else number) << unit
 
 
 def inner(name: str) -> str:

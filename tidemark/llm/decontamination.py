@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, small_batches
+from tidemark.llm.common import batches, materialize
 
 SEGMENT = 4 << 20
 CHUNK = 2_000_000
@@ -90,11 +90,9 @@ def _segments(frames):
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Segments of the positional index of whole texts, stored in the shared folder."""
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    index = materialize(rows.mapInPandas(_segments, INDEX), "index")
-    small_batches(docs.sparkSession, rows=1, size="64m")  # a segment at a time
-    return index
+    with batches(docs.sparkSession):
+        return materialize(rows.mapInPandas(_segments, INDEX), "index")
 
 
 class Segment:
@@ -224,7 +222,8 @@ def probe(index: DataFrame, items: DataFrame, size: int = 10, item_col: str = "i
     for i in range(chunks):
         own = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(chunks)) == i) if chunks > 1 else rows
         asked = spark.sparkContext.broadcast(windows([(r[0], r[1]) for r in own.collect()], size))
-        parts.append(index.mapInPandas(_probe(asked), FOUND))
+        with batches(spark, 1, "64m"):  # a segment at a time
+            parts.append(materialize(index.mapInPandas(_probe(asked), FOUND), "hits"))
     if chunks == 1:
         return parts[0].drop("place")
     every = parts[0]
@@ -258,7 +257,7 @@ def near_spans(seg: Segment, terms: list[int], width: int) -> list[tuple[int, in
 
 
 def near(index: DataFrame, phrases: list[tuple[str, str]], slop: int = 5) -> DataFrame:
-    """Proximity matches of (name, text) phrases: doc_id, name, and the span of words in the document."""
+    """Proximity matches of (name, text) phrases: doc_id (null where the document has none), name, and the span of words in the document."""
     asked = [(name, sorted(set(words(text))), len(words(text))) for name, text in phrases]
 
     def run(frames):
@@ -270,10 +269,11 @@ def near(index: DataFrame, phrases: list[tuple[str, str]], slop: int = 5) -> Dat
                     if terms and all(t in seg.number for t in terms):
                         for a, b in near_spans(seg, [seg.number[t] for t in terms], length + slop):
                             d = int(np.searchsorted(seg.ends, a, side="right"))
-                            got.append((int(seg.ids[d]), name, a - int(seg.starts[d]), b - int(seg.starts[d])))
-                yield pd.DataFrame(got, columns=["doc_id", "name", "from", "to"])
+                            got.append((int(seg.ids[d]) if seg.known[d] else None, name, a - int(seg.starts[d]), b - int(seg.starts[d])))
+                yield pd.DataFrame(got, columns=["doc_id", "name", "from", "to"]).astype({"doc_id": "Int64"})
 
-    return index.mapInPandas(run, "doc_id long, name string, from long, to long")
+    with batches(index.sparkSession, 1, "64m"):
+        return materialize(index.mapInPandas(run, "doc_id long, name string, from long, to long"), "near")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

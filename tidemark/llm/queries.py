@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, near_dedup, oracles, packing, page_outcomes, pii, rule_ensemble, sharding, token_counts, topk, toxicity, url_reputation
-from tidemark.llm.common import materialize, small_batches, table
+from tidemark.llm.common import batches, materialize, table
 from tidemark.llm.tokens import token_counter
 
 # The rules of the URL query.
@@ -18,10 +18,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     count = token_counter(spark)
     lengths = table(spark, sf_dir, "documents").select(count(F.col("text")).alias("n_tokens"))
-    return token_counts.suffix_sums(materialize(token_counts.histogram(lengths), "token-histogram"))
+    with batches(spark):
+        histogram = materialize(token_counts.histogram(lengths), "token-histogram")
+    return token_counts.suffix_sums(histogram)
 
 
 def fold(modulus: int, column: str = "doc_id"):

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import batches, inner, small_batches
 
 SAMPLE = 20_000
 TREES, DEPTH, BINS = 24, 3, 48
@@ -175,13 +175,16 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     known = known.where("_y = _z").select(F.col(id_col).alias("_id"), "_y")
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
-    small_batches(docs.sparkSession)
-    rows = texts.select("_y", _statistics("_text").alias("s")).select("_y", "s.*").limit(2 * sample).toPandas()
+    at = F.xxhash64(F.col("_id"), F.col("_text"))
+    rows = texts.select("_y", "_id", at.alias("_at"), _statistics("_text").alias("s")).select("_y", "_id", "_at", "s.*")
+    with batches(docs.sparkSession):
+        rows = rows.orderBy("_at", "_id", *STATISTICS).limit(2 * sample).toArrow().to_pandas()  # an id may have several texts
     return fit(rows[list(STATISTICS)].to_numpy(np.float64), rows["_y"].to_numpy(np.float64))
 
 
 def score(docs: DataFrame, model: RuleModel, out: str = "score", text_col: str = "text") -> DataFrame:
     """docs with the model's probability of label 1 for every whole text."""
     small_batches(docs.sparkSession)
-    rows = docs.withColumn("_stats", _statistics(F.col(text_col)))
-    return rows.withColumn(out, model.column(lambda s: F.col(f"_stats.{s}"))).drop("_stats")
+    own = inner("statistics")
+    rows = docs.withColumn(own, _statistics(F.col(text_col)))
+    return rows.withColumn(out, model.column(lambda s: F.col(f"{own}.{s}"))).drop(own)

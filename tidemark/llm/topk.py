@@ -1,13 +1,13 @@
 """Exact top-k search by tiled matrix products.
 
-Vectors are packed into blocks of BLOCK rows (one binary matrix a row); a block of queries and a shard of
-candidates form a tile. A tile is one matrix product and a partial selection of its k best; a task merges the
-tiles of a query block that it sees; what tasks hold is merged in a tree of FAN groups a level.
-Query blocks are repeated for each of `lanes` groups of candidate shards and candidate shards for each query
-block: this is a stated query set against all rows in blocks, and a task holds one tile at a time.
+A block of queries and a shard of candidates (an Arrow batch of BLOCK rows, where it lies) form a tile: one matrix
+product and a partial selection of its k best. A task merges the tiles of a query block that it sees; what tasks
+hold is merged in a tree of FAN nodes a level. Candidates never move: queries go to them, in groups of about
+GROUP_BYTES, one pass over the candidates a group, and a task holds one tile at a time beside the group's lists.
 
 Components become floor(scale * x), x as double; the score is the integer inner product, exact at any
-magnitude: in float64 where no partial sum can reach 2**53, else in Python integers, held to 64 bits.
+magnitude: in float32 where no partial sum can reach 2**24, in float64 where none can reach 2**53, else in Python
+integers. A score outside 64 bits counts as the nearest 64-bit integer, as it is returned.
 Ties go to the smaller id. Defined results: vectors that are null or hold null or non-finite components, and
 rows without an id, take no part; of rows that share an id the smallest vector counts; vectors are only
 compared within the same number of components; with fewer than k candidates all are returned.
@@ -20,13 +20,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, small_batches
+from tidemark.llm.common import batches, materialize
 
-#: Vectors of a packed block. A tile's scores take BLOCK * STRIP * 8 bytes twice.
+#: Vectors of a block. A tile's scores take BLOCK * STRIP * 8 bytes twice.
 BLOCK = 4096
 STRIP = 256
 FAN = 16
-LIMIT = 2.0**53
+#: Bytes of query vectors that are sent to the candidates at once.
+GROUP_BYTES = 32 << 20
+SINGLE, LIMIT = 2.0**24, 2.0**53
 
 
 def quantised(vector: Column, scale: int) -> Column:
@@ -36,29 +38,19 @@ def quantised(vector: Column, scale: int) -> Column:
     return F.when(vector.isNotNull() & ~broken, whole)
 
 
-def _pack(frames):
-    for pdf in frames:
-        for dim, part in pdf.groupby(pdf["v"].map(len), sort=True):
-            part = part.sort_values("id", kind="stable")
-            for at in range(0, len(part), BLOCK):
-                rows = part.iloc[at : at + BLOCK]
-                matrix = np.stack(rows["v"].to_numpy()).astype(np.float64) if dim else np.zeros((len(rows), 0))
-                yield pd.DataFrame({"dim": [dim], "ids": [rows["id"].to_numpy(np.int64).tobytes()], "m": [matrix.tobytes()]})
-
-
-def packed(rows: DataFrame) -> DataFrame:
-    """Blocks of (id, v) rows as they lie in their partitions, ordered by id within a block."""
-    return rows.mapInPandas(_pack, "dim int, ids binary, m binary")
-
-
-def _unpack(ids: bytes, m: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(ids, np.int64)
-    return ids, np.frombuffer(m, np.float64).reshape(len(ids), dim)
+def matrices(rows: pd.DataFrame):
+    """(dim, ids, matrix) of rows (id, v), ids ascending, one for each number of components."""
+    for dim, part in rows.groupby(rows["v"].map(len), sort=True):
+        part = part.sort_values("id", kind="stable")
+        yield int(dim), part["id"].to_numpy(np.int64), np.stack(part["v"].to_numpy()).astype(np.float64) if dim else np.zeros((len(part), 0))
 
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """q @ c.T as exact integers: float64 while sums stay below 2**53, else int64 held to its range."""
-    if not q.size or not c.size or q.shape[1] * float(np.abs(q).max()) * float(np.abs(c).max()) < LIMIT:
+    """q @ c.T as exact integers: in floats while sums stay exact, else int64 held to its range."""
+    most = q.shape[1] * float(np.abs(q).max()) * float(np.abs(c).max()) if q.size and c.size else 0.0
+    if most < SINGLE:
+        return (q.astype(np.float32) @ c.astype(np.float32).T).astype(np.float64)
+    if most < LIMIT:
         return q @ c.T
     big = np.array([[int(x) for x in r] for r in q], dtype=object) @ np.array([[int(x) for x in r] for r in c], dtype=object).T
     return np.clip(big, -(2**63), 2**63 - 1).astype(np.int64)
@@ -99,54 +91,50 @@ def best(q_ids, ids, scores, k: int):
     return q_ids[keep], ids[keep], scores[keep]
 
 
-def _tiles(k: int):
+def _search(shared, k: int):
     def run(frames):
-        held: dict[int, list] = {}
+        blocks, held = shared.value, {}
         for pdf in frames:
-            for t in pdf.itertuples(index=False):
-                q_ids, q = _unpack(t.q_ids, t.q_m, t.dim)
-                found = tile_top(q_ids, q, *_unpack(t.ids, t.m, t.dim), k)
-                kept = held.get(t.qb)
-                held[t.qb] = list(best(*[np.concatenate(x) for x in zip(kept, found)], k)) if kept else found
-            if len(held) > 64:
-                yield from (_frame(x) for x in held.values())
-                held = {}
-        yield from (_frame(x) for x in held.values())
+            for dim, ids, m in matrices(pdf):
+                for n, (q_ids, q) in enumerate(blocks.get(dim, ())):
+                    found = tile_top(q_ids, q, ids, m, k)
+                    kept = held.get((dim, n))
+                    held[dim, n] = list(best(*[np.concatenate(x) for x in zip(kept, found)], k)) if kept else found
+        for found in held.values():
+            yield pd.DataFrame({"query_id": found[0], "vec_id": found[1], "score": found[2]})
 
     return run
 
 
-def _frame(found) -> pd.DataFrame:
-    return pd.DataFrame({"query_id": found[0], "vec_id": found[1], "score": found[2]})
+def query_blocks(rows: pd.DataFrame) -> dict[int, list]:
+    """Blocks of (ids, matrix) by number of components."""
+    return {dim: [(ids[at : at + BLOCK], m[at : at + BLOCK]) for at in range(0, len(ids), BLOCK)] for dim, ids, m in matrices(rows)} if len(rows) else {}
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k best candidates of each query row among all rows but its own."""
     spark = vectors.sparkSession
-    small_batches(spark, rows=BLOCK)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v"), is_query.alias("asked"))
     rows = materialize(rows.where("id is not null and v is not null").groupBy("id").agg(F.min("v").alias("v"), F.max("asked").alias("asked")), "topk-vectors")
-    queries = materialize(packed(rows.where("asked").select("id", "v").coalesce(_parts(rows.where("asked").count()))), "topk-queries")
-    n_blocks = queries.count()
-    shards = materialize(packed(rows.select("id", "v")), "topk-shards")
-    lanes = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // max(1, n_blocks))
-    numbered = queries.withColumn("qb", F.row_number().over(Window.orderBy(F.xxhash64("ids"), "ids")) - 1)
-    asked = numbered.select("qb", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), "dim", F.col("ids").alias("q_ids"), F.col("m").alias("q_m"))
-    dealt = shards.select("dim", "ids", "m", F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int").alias("lane"))
-    dealt = dealt.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(max(0, n_blocks - 1)))))
-    small_batches(spark, rows=8, size="32m")
-    tiles = dealt.join(asked, ["qb", "lane", "dim"]).select("qb", "dim", "q_ids", "q_m", "ids", "m")
-    found = tiles.mapInPandas(_tiles(k), "query_id long, vec_id long, score long")
-    groups = lanes
+    asked = rows.where("asked").select("id", "v")
+    cells = asked.agg(F.sum(F.size("v") + 1)).first()[0] or 0
+    groups = max(1, -(-8 * cells // GROUP_BYTES))
+    every = None
+    for g in range(groups):
+        own = asked.where(F.pmod(F.xxhash64("id"), F.lit(groups)) == g) if groups > 1 else asked
+        sent = spark.sparkContext.broadcast(query_blocks(own.toArrow().to_pandas()))
+        found = rows.select("id", "v").mapInPandas(_search(sent, k), "query_id long, vec_id long, score long")
+        found = found.withColumn("node", F.spark_partition_id())
+        with batches(spark, BLOCK):
+            found = materialize(found, "topk-tiles")
+        sent.unpersist()
+        every = found if every is None else every.unionByName(found)
+    nodes = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.desc("score"), F.asc("vec_id")]
-    found = found.withColumn("node", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int"))
-    while groups > FAN:
-        groups = -(-groups // FAN)
-        found = found.withColumn("node", F.pmod("node", F.lit(groups)))
-        found = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "node").orderBy(*order))).where(F.col("rank") <= k).drop("rank")
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)).cast("int"))
+    every = every.withColumn("node", F.pmod("node", F.lit(nodes)))
+    while nodes > FAN:
+        nodes = -(-nodes // FAN)
+        every = every.withColumn("node", F.pmod("node", F.lit(nodes)))
+        every = every.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "node").orderBy(*order))).where(F.col("rank") <= k).drop("rank")
+    ranked = every.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)).cast("int"))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _parts(n: int) -> int:
-    return max(1, -(-n // BLOCK))

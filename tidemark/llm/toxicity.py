@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import inner, materialize, small_batches
+from tidemark.llm.common import batches, inner, materialize, small_batches
 
 DISCOUNT, SHARED_DISCOUNT = 0.75, 0.05
 LONGEST = 8
@@ -291,8 +291,8 @@ class KneserNey:
 
     def differences(self, docs: DataFrame, kind: str = "r", text_col: str = "text") -> DataFrame:
         """docs with a struct inner("llr"): llr (difference of log-likelihoods), n (words), peaks (differences at PEAKS)."""
-        small_batches(docs.sparkSession)
         if self.table.count() <= self.model_rows:
+            small_batches(docs.sparkSession)
             return docs.withColumn(inner("llr"), _scorer(self.shared(kind))(F.col(text_col)))
         return self._joined(docs, kind, text_col)
 
@@ -300,7 +300,8 @@ class KneserNey:
         row = inner("row")
         rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "toxicity-rows")
         used = rows.select(F.col(row).alias("_row"), F.col(text_col).alias("text")).mapInPandas(_split_words, "_row long, word string, c long")
-        used = materialize(used, "toxicity-words")
+        with batches(docs.sparkSession):
+            used = materialize(used, "toxicity-words")
         model = self.table.select("e", F.col(f"d_{kind}").alias("d"), F.col(f"v_{kind}").alias("v")).where("e <> ''")
         parts = used.select("word").distinct().select("word", F.posexplode(symbols(F.col("word"))).alias("k", "s")).select("word", "k", "s.e").join(model, "e")
         known = parts.where("d is not null").groupBy("word").agg(F.sum("d").alias("d"), F.count(F.lit(1)).alias("k"), F.max_by(F.coalesce("v", F.lit(0.0)), "k").alias("v"))
@@ -360,9 +361,13 @@ def distinct_texts(texts: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(heads) if known else heads, "_row")
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, model_rows: int = MODEL_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label") -> KneserNey:
-    """Count both models over all labelled documents given, and fit the curve. labels: id and label (0 or 1)."""
-    small_batches(docs.sparkSession)
+def learn(docs: DataFrame, labels: DataFrame, *args, **kwargs) -> KneserNey:
+    """Count both models over all labelled documents given, and fit the curve. labels: id and label (0 or 1). Parameters: those of _learn()."""
+    with batches(docs.sparkSession):
+        return _learn(docs, labels, *args, **kwargs)
+
+
+def _learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, model_rows: int = MODEL_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label") -> KneserNey:
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).alias("toxic"), F.max(label_col).alias("_z"))
     known = materialize(known.where("toxic = _z").select("_id", F.col("toxic").cast("int")), "known")
     known = F.broadcast(known) if known.count() <= KNOWN_ROWS else known
