@@ -5,7 +5,7 @@ import pytest
 from conftest import *  # noqa: F403
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, sharding, token_counts
+from tidemark.llm import packing, queries, sharding, token_counts
 from tidemark.llm.common import gapless_rank
 from tidemark.llm.tokens import token_counter
 
@@ -98,8 +98,51 @@ def test_capacity_is_the_smallest(spark, seed, shards, hot, monkeypatch):
     held = [int(x.sum()) for x in np.split(sizes, bounds)]
     assert max(held) <= capacity and len(held) <= shards
     if hot > 1:
-        rest = sorted(held)[:-1]
-        assert len(held) == shards and max(rest) < 2 * sum(rest) / len(rest)
+        # what the forced group leaves over is cut alike: the smallest capacity of both sides in the other shards
+        sides = [sizes[:17].tolist(), sizes[18:].tolist()]
+        least = min(max(best_capacity(x, n) for x, n in zip(sides, (k, shards - 1 - k)) if x) for k in range(1, shards - 1))
+        assert sorted(held)[-2] == least and held.count(int(sizes[17])) == 1
+
+
+def test_several_forced_groups(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "FIRST_BITS", 1)
+    monkeypatch.setattr(sharding, "ATOMS", 8)
+    sizes = [5, 900, 3, 3, 700, 4, 5, 6, 2, 1, 7]
+    keys = [(i - 6) << 56 for i in range(len(sizes))]
+    cuts, capacity = sharding.cut_keys(spark.createDataFrame(list(zip(keys, sizes)), "key long, size long"), 7)
+    assert capacity == 900
+    held = [x.tolist() for x in np.split(np.array(sizes), [keys.index(k) for k in cuts])]
+    assert held == [[5], [900], [3, 3], [700], [4, 5], [6, 2, 1], [7]]
+    assert sharding.cut_keys(spark.createDataFrame(list(zip(keys, sizes)), "key long, size long"), 1) == ([], sum(sizes))
+
+
+def test_the_query_equals_brute_force(spark):
+    import zlib
+
+    import xxhash
+
+    sf = "/root/testdata/sf0.01"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: r for r in queries.op9_sharding(spark, sf).collect()}
+    key = lambda t: int(np.uint64(xxhash.xxh64(t.encode(), seed=42).intdigest()).astype(np.int64))
+    groups = {}
+    for _, t in docs:
+        groups[key(t)] = groups.get(key(t), 0) + len(t.encode()) + 16
+    order = sorted(groups)
+    capacity = best_capacity([groups[k] for k in order], 40)
+    assert capacity > max(groups.values())  # no group forces it, so the cut is the greedy one
+    shard, held, of = 0, 0, {}
+    for k in order:
+        if held + groups[k] > capacity:
+            shard, held = shard + 1, 0
+        held += groups[k]
+        of[k] = shard
+    assert len(got) == len(docs)
+    for i, t in docs:
+        assert (got[i].size, got[i].text_crc32, got[i].shard) == (len(t.encode()) + 16, zlib.crc32(t.encode()), of[key(t)])
+    for n in set(of.values()):
+        own = sorted(r.slot for r in got.values() if r.shard == n)
+        assert own == list(range(len(own)))
 
 
 def test_shard(spark, edge, empty):
