@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 from conftest import *  # noqa: F403
 from pyspark.sql import functions as F
 
@@ -31,6 +32,17 @@ def test_topk_with_ties_and_small_blocks(spark, monkeypatch):
     assert got == {i: x for i, x in brute(whole, 3).items() if i % 2 == 0}
 
 
+def test_topk_in_groups_of_queries_leaves_settings_alone(spark, monkeypatch):
+    monkeypatch.setattr(topk, "GROUP_BYTES", 200)
+    monkeypatch.setattr(topk, "FAN", 2)
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before = [spark.conf.get(n, None) for n in names]
+    r = random.Random(2)
+    rows = {i: [r.choice([-1.0, 0.5, 0.25, 3e4]) for _ in range(3)] for i in range(80)}
+    assert run(spark, [(i, v, 1, 1, 1.0) for i, v in rows.items()]) == {i: x for i, x in brute({i: [256 * x for x in v] for i, v in rows.items()}, 3).items() if i % 2 == 0}
+    assert [spark.conf.get(n, None) for n in names] == before
+
+
 def test_topk_edges(spark):
     inf, nan = float("inf"), float("nan")
     vectors = [(0, [1.0, 2.0]), (1, None), (2, [None, 1.0]), (4, [nan, 1.0]), (6, [inf, 1.0]), (8, [1.0, 1.0]), (8, [1.0, 1.0]), (9, [1e12, -1e12]), (10, [1.0, 1.0, 1.0]), (None, [1.0, 1.0]), (12, [1e300, 1.0]), (11, [])]
@@ -90,6 +102,52 @@ def test_large_nodes_branch_and_meet_in_blocks(spark, monkeypatch):
     assert got == {i: c for i, (_, c) in jaccard_components(rows, 4).items()}
 
 
+def test_long_texts_make_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "HELD_SHINGLES", 300)
+    monkeypatch.setattr(near_dedup, "SALTED", 3)
+    monkeypatch.setattr(near_dedup, "CENTRAL", 2)
+    rows = families(4, 4, 14, 50)
+    got = {r.doc_id: r.component for r in near_dedup.near_duplicates(docs_of(spark, rows), shingle=4).collect()}  # noqa: F405
+    assert got == {i: c for i, (_, c) in jaccard_components(rows, 4).items()}
+
+
+def test_sets_that_share_a_key_stay_apart(spark, monkeypatch):
+    def with_one_key(k):
+        def run(frames):
+            for out in near_dedup_signatures(k)(frames):
+                out.loc[out["n"] > 0, "key"] = 5
+                yield out
+
+        return run
+
+    near_dedup_signatures = near_dedup._signatures
+    monkeypatch.setattr(near_dedup, "_signatures", with_one_key)
+    monkeypatch.setattr(near_dedup, "_texts_of", lambda k: lambda frames: (f[["key", "text"]] for f in frames))
+    rows = [(1, prose(1, 40)), (2, prose(2, 40)), (3, prose(1, 40))]  # noqa: F405
+    got = {r.doc_id: r.component for r in near_dedup.near_duplicates(docs_of(spark, rows)).collect()}  # noqa: F405
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_pairs_stay_together_below_the_root():
+    """Pairs at the threshold that share a node in one of the trees, level by level, as if all nodes branched on."""
+    r = np.random.default_rng(9)
+    pairs = 300
+    left = r.integers(0, 2**32, (pairs, near_dedup.COORDINATES), dtype=np.uint64).astype(np.uint32)
+    right = np.where(r.random(left.shape) < 0.8, left, r.integers(0, 2**32, left.shape, dtype=np.uint64).astype(np.uint32))
+    roots = [int(x) for x in near_dedup.mix(np.arange(1, near_dedup.TREES + 1, dtype=np.uint64) * near_dedup._BASE).view(np.int64)]
+    both = pd.DataFrame({"key": np.r_[np.arange(pairs), np.arange(pairs)], "s1": 0, "s2": np.r_[np.zeros(pairs, int), np.ones(pairs, int)], "tokens": [x.tobytes() for x in (*left, *right)]})
+    nodes = pd.concat(near_dedup._branch(0.8, roots)(iter([both])))
+    alive = []
+    for depth in range(5):
+        shared = nodes.groupby(["node", "key"])["s2"].nunique()
+        shared = shared[shared == 2].reset_index()[["node", "key"]]
+        alive.append(shared["key"].nunique())
+        if depth < 4:
+            again = shared.merge(both, on="key")
+            nodes = pd.concat(near_dedup._branch(0.8, None)(iter([again])))
+    assert alive[0] == pairs and min(alive) >= 0.98 * pairs
+
+
 def test_near_edges(spark, edge, empty):
     rows = near_dedup.near_duplicates(edge, shingle=4).collect()
     assert len(rows) == edge.count()

@@ -12,10 +12,10 @@ pairs as it has members. Nodes whose members are all joined by then drop out; in
 components are compared. A large node in which few members are outside its largest component is compared
 as those few against all, in blocks; other large nodes branch on, up to `DEPTH`, after which they are
 compared in blocks, too. What the sketches find is handed on as spanning trees, not as all pairs; their
-components are families of texts that may be linked. A family's texts come together (large ones in pairs of
-blocks), all its pairs across components that the sketches allow are decided by exact intersections of full
-shingle sets, and the links that join something are kept. Components are found by
-moving keys along their links.
+components are families of texts that may be linked. A family's texts come together (large ones as those outside
+the largest component against blocks of all, or in pairs of blocks), all its pairs across components that the
+sketches allow are decided by exact intersections of full shingle sets, and the links that join something are kept.
+Components are found by moving keys along their links.
 
 Defined results: null or wordless texts have an empty set and are linked with nothing; repeated rows and equal
 texts share a component; rows without an id take the component of their class, but lend it no id (null where
@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, small_batches
+from tidemark.llm.common import batches, materialize
 
 COORDINATES = 128
 TREES = 8
@@ -42,15 +42,15 @@ OTHERS = 2048
 DEPTH = 10
 #: Members of a node above which its hub is chosen by majority.
 CENTRAL = 8
-#: Rows of small nodes that a task holds at once.
-BUCKET = 30_000
-#: Texts of families that a task holds at once, about.
-TEXTS = 2_000
+#: Rows of nodes or families, and shingles of families, that are held at once, about.
+HELD_ROWS, HELD_SHINGLES = 1_000, 4_000_000
+#: Members of a hub whose texts are held against one copy of the hub's.
+SALTED = 256
 #: Class ids up to which they are broadcast to the documents when texts are fetched.
 FETCH_ROWS = 2_000_000
 MEMO = 400_000
-#: Standard deviations by which a sketch may understate a pair.
-SLACK = 3.9
+#: Standard deviations by which a sketch may understate a pair: a pair at 0.80 differs in more bits with a chance of about 1e-7.
+SLACK = 5.9
 
 _rng = np.random.default_rng(20240229)
 _ODD = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -123,7 +123,6 @@ def _signatures(k: int):
 
 def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """id, n (set size), key and key2 (digest of the set), s1 and s2 (sketch), tokens (minwise tokens)."""
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return materialize(rows.mapInPandas(_signatures(k), "id long, n long, key long, key2 long, s1 long, s2 long, tokens binary"), "signatures")
 
@@ -221,11 +220,16 @@ def _compare(most: int):
     return run
 
 
+def bucketed(rows: DataFrame, n: int, held: int, *group: str) -> DataFrame:
+    """n rows dealt by `bucket`: whole groups, so many that a bucket holds about `held` rows, over at least as many tasks as a shuffle has."""
+    buckets = max(1, n // held)
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // (30 * held))
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(*group), F.lit(buckets)).cast("int")).repartition(tasks, "bucket")
+
+
 def compare_nodes(rows: DataFrame, most: int) -> DataFrame:
     """a, b: spanning trees of what the sketches allow in small nodes. rows: node, tile, key, s1, s2, root; at most about SMALL + OTHERS rows a (node, tile)."""
-    buckets = max(1, rows.count() // BUCKET)
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("node", "tile"), F.lit(buckets)).cast("int"))
-    return dealt.groupBy("bucket").applyInPandas(_compare(most), "a long, b long")
+    return bucketed(rows, rows.count(), HELD_ROWS, "node", "tile").groupBy("bucket").applyInPandas(_compare(most), "a long, b long")
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -252,11 +256,11 @@ def _settle(k: int, similarity: float, most: int):
     whole = round(similarity * 100)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["family", "tile", "key"])
+        pdf = pdf.sort_values(["node", "tile", "key"])
         key, root = pdf["key"].to_numpy(), pdf["root"].to_numpy()
         s1, s2 = pdf["s1"].to_numpy().view(np.uint64), pdf["s2"].to_numpy().view(np.uint64)
         found = [(np.zeros(0, np.int64),) * 2]
-        for a, b in groups_of(pdf["family"].to_numpy(), pdf["tile"].to_numpy()):
+        for a, b in groups_of(pdf["node"].to_numpy(), pdf["tile"].to_numpy()):
             able = allowed(s1[a:b], s2[a:b], root[a:b], most)
             used = np.flatnonzero(able.any(axis=1))
             if not len(used):
@@ -273,18 +277,28 @@ def _settle(k: int, similarity: float, most: int):
 
 
 def settle(trees: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, k: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """a, b: confirmed links that join components, from the families that the spanning trees make."""
+    """a, b: confirmed links that join components, from the families that the spanning trees make.
+
+    A family whose members all have one root joins nothing more. Of a large one with few members outside its largest component those are
+    held against blocks of all; blocks hold about HELD_SHINGLES shingles at most (or one text), so long texts make small blocks.
+    """
     most = most_differing(similarity)
-    members = components(materialize(trees, "trees")).select("key", F.col("root").alias("family"))
-    members = rooted(members.join(classes.select("key", "rep", "s1", "s2"), "key"), labels)
-    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
-    members = materialize(members.join(sizes, "family"), "families")
-    texts = texts_of(members.select("key", "rep"), docs, k, id_col, text_col)
-    small = members.where(F.col("size") <= SMALL).withColumn("tile", F.lit(0).cast("long"))
-    large = tiles(members.where(F.col("size") > SMALL).withColumn("node", F.col("family"))).drop("node")
-    rows = small.unionByName(large).select("family", "tile", "key", "s1", "s2", "root").join(texts, "key")
-    buckets = max(1, members.count() // TEXTS)
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("family", "tile"), F.lit(buckets)).cast("int"))
+    members = components(materialize(trees, "trees")).select("key", F.col("root").alias("node"))
+    members = rooted(members.join(classes.select("key", "n", "s1", "s2"), "key"), labels)
+    members = mixed(members)
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"), F.sum(F.when(F.col("root") != F.col("main"), F.col("n")).otherwise(0)).alias("outside"))
+    members = materialize(members.join(weights, "node"), "families")
+    is_small = (F.col("size") <= SMALL) & (F.col("weight") <= HELD_SHINGLES)
+    is_few = ~is_small & (F.col("others") <= OTHERS) & (F.col("outside") <= HELD_SHINGLES)
+    blocks = lambda rows: F.greatest(F.ceil(F.col("size") / rows), F.ceil(2 * F.col("weight") / HELD_SHINGLES)).cast("long")
+    small = members.where(is_small).withColumn("tile", F.lit(0).cast("long"))
+    rows = small.unionByName(against(members.where(is_few), blocks(SMALL))).unionByName(tiles(members.where(~is_small & ~is_few), blocks(SMALL // 2)))
+    rows = rows.select("node", "tile", "key", "s1", "s2", "root", "n")
+    rows = materialize(rows, "family-rows")
+    texts = texts_of(members.select("key"), classes, docs, k, id_col, text_col)
+    whole, n = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    share = HELD_SHINGLES * n // max(1, whole)  # rows that hold so many shingles on average
+    dealt = bucketed(rows.drop("n").join(texts, "key"), n, max(1, min(HELD_ROWS, share)), "node", "tile")
     return materialize(dealt.groupBy("bucket").applyInPandas(_settle(k, similarity, most), "a long, b long"), "late-links")
 
 
@@ -292,21 +306,20 @@ def _confirm(k: int, similarity: float):
     whole = round(similarity * 100)
 
     def run(frames):
-        memo: dict[int, np.ndarray] = {}
+        hub, own = None, None
         for pdf in frames:
             keep = []
-            for a, b, ta, tb in zip(pdf["a"].tolist(), pdf["b"].tolist(), pdf["ta"], pdf["tb"]):
-                for key, t in ((a, ta), (b, tb)):
-                    if key not in memo:
-                        if len(memo) > 256:
-                            memo.clear()
-                        memo[key] = shingles(t, k)
-                x, y = memo.get(a), memo.get(b)
-                x = shingles(ta, k) if x is None else x
-                y = shingles(tb, k) if y is None else y
-                inter = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) * 100 >= whole * max(len(x), len(y)) else 0
-                keep.append(100 * inter >= whole * (len(x) + len(y) - inter))
-            yield pdf.loc[keep, ["a", "b"]]
+            for a, salt, member, text in zip(pdf["a"].tolist(), pdf["salt"].tolist(), pdf["member"].tolist(), pdf["text"]):
+                s = shingles(text, k)
+                if not member:  # a hub comes before its members
+                    hub, own = (a, salt), s
+                    keep.append(False)
+                    continue
+                if hub != (a, salt):
+                    raise ValueError("a member without its hub")
+                both = len(np.intersect1d(own, s, assume_unique=True)) if min(len(own), len(s)) * 100 >= whole * max(len(own), len(s)) else 0
+                keep.append(100 * both >= whole * (len(own) + len(s) - both))
+            yield pdf.loc[np.array(keep, bool), ["a", "b"]]
 
     return run
 
@@ -314,29 +327,40 @@ def _confirm(k: int, similarity: float):
 def _texts_of(k: int):
     def run(frames):
         for pdf in frames:
-            keys = [_as_long(hashlib.blake2b(shingles(t, k).tobytes(), digest_size=16).digest()[:8]) for t in pdf["text"]]
-            same = np.array(keys, np.int64) == pdf["key"].to_numpy()
-            yield pd.DataFrame({"key": pdf["key"][same], "text": pdf["text"][same]})
+            same = []
+            for t, d1, d2 in zip(pdf["text"], pdf["d1"].tolist(), pdf["d2"].tolist()):
+                d = hashlib.blake2b(shingles(t, k).tobytes(), digest_size=16).digest()
+                same.append((_as_long(d[:8]), _as_long(d[8:])) == (d1, d2))
+            yield pdf.loc[same, ["key", "text"]]
 
     return run
 
 
-def texts_of(need: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """key, text of the classes in need (key, rep): a text of document rep whose shingle set has that key."""
+def texts_of(keys: DataFrame, classes: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """key, text of the classes named by keys: a text of document rep whose shingle set has the class's digest."""
+    need = materialize(keys.join(classes.select("key", "rep", "d1", "d2"), "key"), "needed")
     if need.count() <= FETCH_ROWS:
         need = F.broadcast(need)
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(need, "rep")
-    texts = materialize(texts.select("key", "text").mapInPandas(_texts_of(k), "key long, text string"), "texts")
+    texts = materialize(texts.select("key", "text", "d1", "d2").mapInPandas(_texts_of(k), "key long, text string"), "texts")
     return texts.dropDuplicates(["key"])
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b of class keys) whose full shingle sets are similar enough."""
-    pairs = materialize(pairs, "pairs")
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    texts = texts_of(materialize(keys.join(classes.select("key", "rep"), "key"), "needed"), docs, k, id_col, text_col)
-    both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
-    return materialize(both.mapInPandas(_confirm(k, similarity), "a long, b long").distinct(), "links")
+def confirm(stars: DataFrame, classes: DataFrame, docs: DataFrame, k: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (a: hub, b: member, as class keys) whose full shingle sets are similar enough.
+
+    Members are dealt by (hub, salt), SALTED a salt, and follow one row of the hub's text: a task holds one hub's set and one member's at a time.
+    """
+    stars = materialize(stars, "stars")
+    salts = stars.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SALTED).cast("int").alias("salts"))
+    keys = stars.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    texts = texts_of(keys, classes, docs, k, id_col, text_col)
+    hubs = salts.join(texts, salts["a"] == texts["key"]).select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("a").alias("b"), F.lit(False).alias("member"), "text")
+    members = stars.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts").cast("long")).cast("int"))
+    members = members.join(texts.select(F.col("key").alias("b"), "text"), "b").select("a", "salt", "b", F.lit(True).alias("member"), "text")
+    tasks = max(int(stars.sparkSession.conf.get("spark.sql.shuffle.partitions")), stars.count() // (30 * HELD_ROWS))
+    dealt = hubs.unionByName(members).repartition(tasks, "a", "salt").sortWithinPartitions("a", "salt", "member")
+    return materialize(dealt.mapInPandas(_confirm(k, similarity), "a long, b long").distinct(), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -394,13 +418,22 @@ def hubs_of(rows: DataFrame) -> DataFrame:
     return first.where(F.col("size") <= CENTRAL).select("node", "size", "hub").unionByName(best)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, trees: int = TREES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *args, **kwargs) -> DataFrame:
+    """id, n_shingles, component (smallest id reachable over links) for every row of docs. Parameters: those of _near_duplicates()."""
+    with batches(docs.sparkSession):
+        return _near_duplicates(docs, *args, **kwargs)
+
+
+def _near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, trees: int = TREES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component (smallest id reachable over links) for every row of docs."""
     signed = signatures(docs, shingle, id_col, text_col)
     whole = F.struct("id", "s1", "s2", "tokens")
-    classes = signed.where("n > 0").groupBy("key").agg(F.min(F.when(F.col("id").isNotNull(), whole)).alias("r"), F.first(F.struct("s1", "s2", "tokens"), ignorenulls=True).alias("any"))
-    classes = classes.select("key", F.col("r.id").alias("rep"), F.col("any.s1").alias("s1"), F.col("any.s2").alias("s2"), F.col("any.tokens").alias("tokens"))
+    classes = signed.where("n > 0").groupBy("key", "key2").agg(F.min(F.when(F.col("id").isNotNull(), whole)).alias("r"), F.first(F.struct("s1", "s2", "tokens"), ignorenulls=True).alias("any"), F.first("n").alias("n"))
+    classes = classes.select(F.col("key").alias("d1"), F.col("key2").alias("d2"), F.col("r.id").alias("rep"), "n", F.col("any.s1").alias("s1"), F.col("any.s2").alias("s2"), F.col("any.tokens").alias("tokens"))
     classes = materialize(classes, "classes")
+    # sets that share d1 but not d2 have keys of their own; there is hardly ever one
+    shared = materialize(classes.groupBy("d1").agg(F.min("d2").alias("least"), F.count(F.lit(1)).alias("sets")).where("sets > 1").drop("sets"), "shared-keys")
+    classes = classes.join(shared, "d1", "left").withColumn("key", F.when(F.col("least") < F.col("d2"), F.xxhash64("d1", "d2")).otherwise(F.col("d1"))).drop("least")
     named = classes.where("rep is not null")
     most = most_differing(similarity)
 
@@ -435,27 +468,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     joined = rooted(rooted(late.select(F.col("a").alias("key"), "b"), labels).select(F.col("root").alias("a"), F.col("b").alias("key")), labels)
     over = components(joined.select("a", F.col("root").alias("b")).where("a <> b").distinct())
 
-    final = rooted(classes.select("key", "rep"), labels)
+    final = rooted(classes.select("key", "rep", "d1", "d2"), labels)
     upper = over.select(F.col("key").alias("root"), F.col("root").alias("_top"))
     final = final.join(upper, "root", "left").withColumn("top", F.coalesce("_top", "root"))
     least = final.groupBy("top").agg(F.min("rep").alias("component"))
-    final = materialize(final.join(least, "top").select("key", "component"), "components")
-    out = signed.select("id", "n", "key").join(final, "key", "left")
+    final = materialize(final.join(least, "top").select(F.col("d1").alias("key"), F.col("d2").alias("key2"), "component"), "components")
+    out = signed.select("id", "n", "key", "key2").join(final, ["key", "key2"], "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component"))
 
 
-def against(rows: DataFrame) -> DataFrame:
-    """Rows of large nodes: blocks of the largest component, each with all rows outside it."""
-    blocks = F.ceil(F.col("size") / SMALL).cast("long")
-    own = F.pmod(F.xxhash64("key", "node"), blocks)
-    every = F.sequence(F.lit(0).cast("long"), blocks - 1)
-    return rows.withColumn("tile", F.explode(F.when(F.col("root") == F.col("main"), F.array(own)).otherwise(every)))
+def against(rows: DataFrame, blocks=None) -> DataFrame:
+    """Rows of large nodes: blocks (SMALL rows each) of the largest component, each with all rows outside it."""
+    rows = rows.withColumn("_n", F.ceil(F.col("size") / SMALL).cast("long") if blocks is None else blocks)
+    own = F.pmod(F.xxhash64("key", "node"), F.col("_n"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)
+    return rows.withColumn("tile", F.explode(F.when(F.col("root") == F.col("main"), F.array(own)).otherwise(every))).drop("_n")
 
 
-def tiles(rows: DataFrame) -> DataFrame:
-    """Rows of nodes too large to compare at once, dealt into pairs of blocks of at most about SMALL / 2 rows."""
-    blocks = F.ceil(F.col("size") / (SMALL // 2)).cast("long")
-    own = F.pmod(F.xxhash64("key", "node"), blocks)
-    spread = rows.withColumn("_n", blocks).withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+def tiles(rows: DataFrame, blocks=None) -> DataFrame:
+    """Rows of nodes too large to compare at once, dealt into pairs of blocks (of SMALL / 2 rows each)."""
+    spread = rows.withColumn("_n", F.ceil(F.col("size") / (SMALL // 2)).cast("long") if blocks is None else blocks)
+    spread = spread.withColumn("_own", F.pmod(F.xxhash64("key", "node"), F.col("_n"))).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
     return spread.withColumn("tile", F.least("_own", "_other") * F.col("_n") + F.greatest("_own", "_other")).drop("_n", "_own", "_other")
