@@ -36,7 +36,12 @@ def _migrate(args) -> int:
 def _validate(args) -> int:
     spark = session()
     store = Store(spark, args.raw, args.top, DEFAULT)
-    checks = [quality.check_sessions(spark, store.dates(n), store.available(n)).withColumn("dataset", F.lit(n)) for n in args.dataset or DEFAULT.names() if not (DEFAULT.get(n).single_file or DEFAULT.get(n).bulk)]
+    checks = []
+    for n in args.dataset or DEFAULT.names():
+        d, files = DEFAULT.get(n), store.stored_files(n)
+        if not (d.single_file or d.bulk):
+            checks.append(quality.check_migration(spark, n, store.dates(n), store.available(n), files))
+        checks.append(quality.check_store(spark, n, files, set(d.schema.names) - set(d.drop)))
     rows = quality.report(checks)
     rows.show(100, False)
     got = quality.summary(rows).first()

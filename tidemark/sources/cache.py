@@ -4,39 +4,38 @@ from __future__ import annotations
 
 import json
 import time
-from pathlib import Path
-import shutil
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.store import Files
+
 
 class ResultCache:
-    """top: a folder on a disk that driver and executors share. The least recently used results go first."""
+    """top: a folder that driver and executors share, in any of Spark's file systems. The least recently used results go first."""
 
     def __init__(self, spark: SparkSession, top: str, max_mb: float = 2000):
-        self.spark, self.top, self.max_mb = spark, Path(top), max_mb
+        self.spark, self.top, self.max_mb, self.files = spark, top.rstrip("/"), max_mb, Files(spark)
 
-    def _meta(self, key: str) -> Path:
-        return self.top / f"{key}.json"
+    def _meta(self, key: str) -> str:
+        return f"{self.top}/{key}.json"
 
     def get(self, key: str) -> DataFrame | None:
-        meta = self._meta(key)
-        if not meta.exists():
+        text = self.files.read_text(self._meta(key))
+        if text is None:
             return None
-        info = json.loads(meta.read_text())
-        meta.write_text(json.dumps(info | {"accessed_at": time.time()}))
-        return self.spark.read.parquet(str(self.top / key))
+        self.files.write_text(self._meta(key), json.dumps(json.loads(text) | {"accessed_at": time.time()}))
+        return self.spark.read.parquet(f"{self.top}/{key}")
 
     def put(self, key: str, dataset: str, df: DataFrame) -> DataFrame:
-        self.top.mkdir(parents=True, exist_ok=True)
-        df.write.mode("overwrite").parquet(str(self.top / key))
-        size = sum(f.stat().st_size for f in (self.top / key).rglob("*") if f.is_file())
-        self._meta(key).write_text(json.dumps({"dataset": dataset, "bytes": size, "created_at": time.time(), "accessed_at": None}))
+        df.write.mode("overwrite").parquet(f"{self.top}/{key}")
+        size = sum(b for _, _, b in self.files.find(f"{self.top}/{key}/*"))
+        self.files.write_text(self._meta(key), json.dumps({"dataset": dataset, "bytes": size, "created_at": time.time(), "accessed_at": None}))
         self._evict(keep=key)
-        return self.spark.read.parquet(str(self.top / key))
+        return self.spark.read.parquet(f"{self.top}/{key}")
 
     def entries(self) -> dict[str, dict]:
-        return {p.stem: json.loads(p.read_text()) for p in sorted(self.top.glob("*.json"))}
+        names = [p for p, _, _ in self.files.find(f"{self.top}/*.json")]
+        return {p.rpartition("/")[2].removesuffix(".json"): json.loads(text) for p in names if (text := self.files.read_text(p))}
 
     def invalidate(self, dataset: str | None = None) -> int:
         """Drop all results, or a dataset's. How many."""
@@ -46,8 +45,8 @@ class ResultCache:
         return len(gone)
 
     def _drop(self, key: str) -> None:
-        shutil.rmtree(self.top / key, ignore_errors=True)
-        self._meta(key).unlink(missing_ok=True)
+        self.files.delete(f"{self.top}/{key}")
+        self.files.delete(self._meta(key))
 
     def _evict(self, keep: str) -> None:
         have = self.entries()
