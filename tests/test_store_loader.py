@@ -109,8 +109,87 @@ def test_conform_and_bad_files(spark, tmp_path):
     raw = tmp_path / "raw/index/spx"
     raw.mkdir(parents=True)
     (raw / "20240102.parquet").write_text("not parquet")
-    stats = stores.Store(spark, str(tmp_path / "raw"), str(tmp_path), DEFAULT).ingest("spx_ohlc")
-    assert stats["errors"] == 1 and stats["ingested"] == 0
+    store = stores.Store(spark, str(tmp_path / "raw"), str(tmp_path), DEFAULT)
+    stats = store.ingest("spx_ohlc")
+    assert stats["errors"] == 1 and stats["ingested"] == 0 and store.available("spx_ohlc") == []
+
+
+def bars_file(spark, path, day, kind="float"):
+    rows = [(dt.datetime(2024, 1, day, 9, 30 + m), 1.0, 2.0, 0.5, 1.5) for m in (2, 0, 1)]
+    names = ("open", "high", "low", "close")
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, " + ", ".join(f"{n} double" for n in names))
+    df.select("timestamp", *[F.col(n).cast(kind) for n in names]).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def test_a_failed_write_is_tried_again_and_spares_others(spark, tmp_path):
+    raw = f"{tmp_path}/raw/index/spx"
+    store = stores.Store(spark, f"{tmp_path}/raw", str(tmp_path), DEFAULT)
+    for day in (2, 4):
+        bars_file(spark, f"{raw}/2024010{day}.parquet", day)
+    spark.createDataFrame([(dt.datetime(2024, 1, 3), "no number", "x", "y", "z")], "timestamp timestamp_ntz, open string, high string, low string, close string").write.parquet(f"{raw}/20240103.parquet")
+    first = store.ingest("spx_ohlc")
+    assert (first["ingested"], first["errors"]) == (2, 1) and store.available("spx_ohlc") == [D2, D4]
+    again = store.ingest("spx_ohlc")
+    assert (again["ingested"], again["skipped"], again["errors"]) == (0, 2, 1)
+    bars_file(spark, f"{raw}/20240103.parquet", 3)
+    assert store.ingest("spx_ohlc")["ingested"] == 1 and store.available("spx_ohlc") == [D2, D3, D4]
+    assert Loader(spark, str(tmp_path)).load("spx_ohlc", (D2, D4), clean=False).count() == 9
+    # a stored session stays when its replacement fails
+    spark.createDataFrame([(1,)], "x int").write.mode("overwrite").parquet(f"{raw}/20240102.parquet")
+    assert store.ingest("spx_ohlc", [D2])["errors"] == 1 and store.available("spx_ohlc") == [D2, D3, D4]
+    assert Loader(spark, str(tmp_path)).load("spx_ohlc", D2, clean=False).count() == 3
+
+
+def test_sessions_without_rows_are_stored_empty(spark, tmp_path):
+    for day in (2, 3):
+        bars_file(spark, f"{tmp_path}/raw/index/spx/2024010{day}.parquet", day)
+    spark.read.parquet(f"{tmp_path}/raw/index/spx/20240102.parquet").where("false").write.parquet(f"{tmp_path}/raw/index/spx/20240104.parquet")
+    store = stores.Store(spark, f"{tmp_path}/raw", str(tmp_path), DEFAULT)
+    assert store.ingest("spx_ohlc", delete_source=True)["ingested"] == 3 and store.dates("spx_ohlc") == []
+    loader = Loader(spark, str(tmp_path))
+    assert loader.load("spx_ohlc", D4, clean=False).count() == 0 and loader.load("spx_ohlc", D3, clean=False, sort=False).count() == 3
+    rows = [r.timestamp for r in spark.read.parquet(store.stored_files("spx_ohlc")[0]).collect()]
+    assert rows == sorted(rows)
+
+
+def test_splitting_months_in_turn_feeds_the_loader(spark, tmp_path):
+    store = stores.Store(spark, str(tmp_path), str(tmp_path), DEFAULT)
+
+    def month(m, n):
+        rows = [(dt.datetime(2024, m, d, 9, 31 + i), 1.0, 1.0, 1.0, 1.0) for d in (2, 3) for i in range(n)]
+        return spark.createDataFrame(rows, "timestamp timestamp_ntz, open double, high double, low double, close double")
+
+    assert store.split("spx_ohlc", month(1, 2), dry_run=True) == {"2024-01-02": 2, "2024-01-03": 2} and store.available("spx_ohlc") == []
+    assert store.split("spx_ohlc", month(1, 2)) == {"2024-01-02": 2, "2024-01-03": 2}
+    assert store.split("spx_ohlc", month(2, 3)) == {"2024-02-02": 3, "2024-02-03": 3}
+    assert store.split("spx_ohlc", month(1, 2)) == {} and store.split("spx_ohlc", month(1, 5)) == {"2024-01-02": 5, "2024-01-03": 5}
+    assert store.available("spx_ohlc") == [D2, D3, dt.date(2024, 2, 2), dt.date(2024, 2, 3)]
+    loader = Loader(spark, str(tmp_path))
+    assert loader.load("spx_ohlc", (D2, dt.date(2024, 2, 28)), clean=False).count() == 16
+
+
+def test_store_and_migration_checks(spark, tmp_path):
+    for day in (2, 3):
+        bars_file(spark, f"{tmp_path}/raw/index/spx/2024010{day}.parquet", day)
+    store = stores.Store(spark, f"{tmp_path}/raw", str(tmp_path), DEFAULT)
+    store.ingest("spx_ohlc", [D2])
+    files = lambda: store.stored_files("spx_ohlc")
+    need = {"timestamp", "close"}
+    assert quality.check_store(spark, "spx", files(), need).first().status == "PASS"
+    assert quality.check_store(spark, "spx", files(), need, least=5).first().status == "FAIL"
+    assert "volume" in quality.check_store(spark, "spx", files(), {"volume"}).first().detail
+    assert quality.check_store(spark, "spx", [], need).first().status == "FAIL"
+    assert quality.check_migration(spark, "spx", store.dates("spx_ohlc"), store.available("spx_ohlc"), files()).first().status == "FAIL"
+    store.ingest("spx_ohlc")
+    got = quality.check_migration(spark, "spx", store.dates("spx_ohlc"), store.available("spx_ohlc"), files()).first()
+    assert got.status == "PASS" and got.detail == "sessions=2, missing=0, readable=true, rows=6"
+    assert quality.most_recent(files()).endswith("20240103.parquet")
+    bad = tmp_path / "store/spx_ohlc/year=2024/month=01/20240104.parquet"
+    bad.write_text("no")
+    assert "unreadable" in quality.check_store(spark, "spx", files(), need).first().detail
+    bad.unlink()
+    got = {r.dataset: r for r in quality.statistics(spark, {"spx": f"{tmp_path}/store/spx_ohlc"}).collect()}
+    assert got["TOTAL"].files == got["spx"].files == 2 and got["spx"].rows == 6 and got["spx"].bytes > 0
 
 
 def test_sessions_and_union(spark, tmp_path):
@@ -123,11 +202,58 @@ def test_sessions_and_union(spark, tmp_path):
 
 def test_checks(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 6), "A", "1882-01-01", -1.0, "CALL", 2.0, 1.0, 7.0, -1)] * 2, "timestamp timestamp_ntz, symbol string, expiration string, strike double, right string, bid double, ask double, implied_vol double, open_interest int")
-    rows = quality.report([quality.check_prices(df, ["bid", "ask"]), quality.check_strikes(df), quality.check_greeks(df), quality.check_duplicates(df), quality.check_known_issues(df, ["B"]), quality.check_open_interest(df), quality.check_dte(df, 0), quality.check_spreads(df), quality.check_expirations(df), quality.check_timestamps(df, F.current_timestamp().cast("timestamp_ntz"))])
+    checks = [quality.prices(df, ["bid", "ask"]), quality.strikes(df), quality.greeks(df), quality.known_issues(df, ["B"]), quality.open_interest(df), quality.dte(df, 0), quality.spreads(df), quality.expirations(df), quality.timestamps(df, F.current_timestamp().cast("timestamp_ntz"))]
+    rows = quality.report([quality.run(df, checks), quality.check_duplicates(df)])
     got = {r.check: r.status for r in rows.collect()}
     assert got == {"prices": "FAIL", "strikes": "FAIL", "greeks": "WARN", "duplicates": "FAIL", "known_issues": "FAIL", "open_interest": "FAIL", "dte": "WARN", "spreads": "PASS", "expirations": "FAIL", "timestamps": "WARN"}
     assert quality.summary(rows).first().verdict == "ISSUES FOUND"
-    assert {r.status for r in quality.report([quality.check_prices(df.where("false"), ["bid"]), quality.check_duplicates(df.where("false"))]).collect()} == {"PASS"}
+    none = df.where("false")
+    assert {r.status for r in quality.report([quality.run(none, [quality.prices(none, ["bid"])]), quality.check_duplicates(none)]).collect()} == {"PASS"}
+    assert [r.status for r in quality.run(none, [quality.spreads(none)]).collect()] == ["WARN"]
+    assert quality.spread_quantiles(none).collect() == [(0, 0, None, None, None)]
+
+
+def test_spread_quantiles_are_exact(spark):
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    rows = [(float(b), float(b + a)) for b, a in zip(r.integers(0, 40, 3000) / 8, r.integers(-8, 300, 3000) / 16)]
+    df = spark.createDataFrame(rows, "bid double, ask double")
+    s = np.array([(a - b) / ((a + b) / 2) * 100 for b, a in rows if a > 0 and b > 0])
+    got = quality.spread_quantiles(df).first()
+    assert got.n == len(s) and got.wide == (s > 100).sum()
+    assert np.allclose([got.median, got.p95, got.p99], np.quantile(s, [0.5, 0.95, 0.99]))
+
+
+def test_journal_schedule_and_empty_files(spark, tmp_path):
+    from tidemark.plans import fetching
+
+    monthly = fetching.schedule(spark, "eod", dt.date(2024, 1, 15), dt.date(2024, 3, 10))
+    assert [tuple(r) for r in monthly.orderBy("key").collect()] == [
+        ("eod/2024_01", dt.date(2024, 1, 15), dt.date(2024, 1, 31), None), ("eod/2024_02", dt.date(2024, 2, 1), dt.date(2024, 2, 29), None), ("eod/2024_03", dt.date(2024, 3, 1), dt.date(2024, 3, 10), None)
+    ]
+    journal = fetching.Journal(spark, f"{tmp_path}/journal")
+    assert journal.completed() == set() and journal.left(monthly).count() == 3
+    journal.mark("eod/2024_02", 12, 0.5)
+    journal.mark("eod/2024_02", 12, 0.5)
+    assert journal.completed() == {"eod/2024_02"} and [r.key for r in journal.left(monthly).orderBy("key").collect()] == ["eod/2024_01", "eod/2024_03"]
+    schema = DEFAULT.get("oi").schema
+    fetching.save(spark.createDataFrame([], "symbol string"), f"{tmp_path}/empty.parquet", schema)
+    got = spark.read.parquet(f"{tmp_path}/empty.parquet")
+    assert got.count() == 0 and got.columns == schema.names
+
+
+def test_feed_is_driven_by_its_volatility(spark):
+    spec = synthetic.Spec(D2, D4)
+    spot, vix, _ = synthetic.paths(spark, spec)
+    got = vix.orderBy("timestamp").collect()
+    assert all(9 <= r.value <= 60 for r in got) and got[0].value == 14.0 and got[390].value == pytest.approx(got[389].value, abs=1e-9)
+    first = spot.orderBy("timestamp").first()
+    assert first.value == 4750.0
+    for n, expiry in ((0, "2024-01-04"), (1, "2024-01-05")):
+        rows = synthetic.chain(spot, vix, spec, n).where(F.col("date") == F.lit(D4))
+        assert {r[0] for r in rows.select("expiration").distinct().collect()} == {expiry}
+        assert rows.where("ask < bid or bid < 0").isEmpty() and rows.where("underlying_price = 0").count() == 22
 
 
 def test_file_check(spark, tmp_path):

@@ -56,7 +56,12 @@ def black_scholes(df: DataFrame, spot: Column, strike: Column, years: Column, vo
 TERMS = ("_s", "_k", "_t", "_v", "_c", "_d1", "_b", "_d2", "_n", "_c1", "_m1", "_c2", "_m2")
 
 
-def smile(spot: Column, strike: Column, years: Column, base: Column, skew: float = -0.1, curve: float = 0.1) -> Column:
-    """Volatility skewed and curved in log-moneyness over the root of time, held to 0.05 to 3."""
-    x = F.log(strike / spot) / F.sqrt(F.greatest(years, F.lit(FLOOR)))
-    return F.greatest(F.lit(0.05), F.least(F.lit(3.0), base + skew * x + curve * x * x))
+# Slope and curvature of the smile a unit of scaled log-moneyness, and its least time (a minute of trading)
+SKEW, CURVATURE = -0.018, 0.015
+MINUTE = 1 / (252 * 390)
+
+
+def smile(spot: Column, strike: Column, years: Column, base: Column) -> Column:
+    """The volatility at the money, scaled by a skew and a curve in log-moneyness over the root of time; held to 0.05 to 3."""
+    x = F.log(strike / spot) / F.sqrt(F.greatest(years, F.lit(MINUTE)))
+    return F.greatest(F.lit(0.05), F.least(F.lit(3.0), base * (1 + SKEW * x + CURVATURE * x * x)))

@@ -143,6 +143,8 @@ def _spread(middle: Column) -> Column:
 
 @rule("filter_outlier_spread")
 def filter_outlier_spread(df: DataFrame, max_spread_pct: float = 5.0, **_) -> DataFrame:
+    if not {"bid", "ask"} <= set(df.columns):
+        return df
     middle = _middle()
     return df.where((middle > 0) & (_spread(middle) <= max_spread_pct))
 
@@ -173,8 +175,7 @@ def filter_bogus_expirations(df: DataFrame, min_year: int = 2000, max_year: int
 def add_spread_pct(df: DataFrame, **_) -> DataFrame:
     if not {"bid", "ask"} <= set(df.columns):
         return df
-    middle = F.col("mid") if "mid" in df.columns else _middle()
-    return df.withColumn("spread_pct", F.when(middle > 0, _spread(middle)).cast("float"))
+    return df.withColumn("spread_pct", F.when(_middle() > 0, _spread(_middle())).cast("float"))
 
 
 def rules_of(*items) -> tuple[Rule, ...]:

@@ -1,10 +1,16 @@
-"""Data checks. Each is one aggregation; all give rows (check, status, detail) and together a report."""
+"""Data checks. Each gives rows (check, status, detail); together they are a report.
+
+Checks of single columns are a Check: named aggregates, and the verdict and detail that follow from them. Any
+number of them over the same rows is one aggregation over one scan, turned into a row a check.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +20,33 @@ from tidemark.sources.scan import expiry_column, expiry_day
 REPORT = "check string, status string, detail string"
 
 
+@dataclass(frozen=True)
+class Check:
+    """name, aggregates by name, and fail, warn: from the aggregates' columns by name to a condition. shown: aggregates that the detail holds."""
+
+    name: str
+    aggregates: dict[str, Column]
+    fail: Callable
+    warn: Callable
+    shown: tuple[str, ...]
+
+
+def run(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """A row a check, from one pass over df."""
+    wide = df.agg(*[c.alias(f"{i}_{n}") for i, check in enumerate(checks) for n, c in check.aggregates.items()])
+    rows = []
+    for i, check in enumerate(checks):
+        of = lambda n, i=i: F.col(f"{i}_{n}")
+        status = F.when(check.fail(of), "FAIL").when(check.warn(of), "WARN").otherwise("PASS")
+        detail = F.concat_ws(", ", *[F.concat(F.lit(f"{n}="), F.coalesce(of(n).cast("string"), F.lit("-"))) for n in check.shown])
+        rows.append(F.struct(F.lit(check.name).alias("check"), status.alias("status"), detail.alias("detail")))
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def never(_) -> Column:
+    return F.lit(False)
+
+
 def count_if(c: Column) -> Column:
     return F.count_if(F.coalesce(c, F.lit(False)))
 
@@ -47,66 +80,99 @@ def check_months(df: DataFrame, months: DataFrame, index: str = "timestamp") ->
     return verdict("months", F.col("n") == 0, F.col("missing") > 0, counts_text("n", "missing"), both)
 
 
-def check_expirations(df: DataFrame) -> DataFrame:
+def expirations(df: DataFrame) -> Check:
+    """Different expiries on weekends; those of 2040 and later are known to be wrong."""
     name = expiry_column(df)
-    days = df.select(expiry_day(F.col(name), df.schema[name].dataType).alias("d")).distinct().where(F.year("d") < 2040)
-    got = days.agg(count_if(F.weekday("d") >= 5).alias("weekend"))
-    return verdict("expirations", F.col("weekend") > 0, F.lit(False), counts_text("weekend"), got)
+    day = expiry_day(F.col(name), df.schema[name].dataType)
+    odd = F.collect_set(F.when((F.weekday(day) >= 5) & (F.year(day) < 2040), day))  # no more of them than days
+    return Check("expirations", {"weekend": F.size(odd)}, lambda of: of("weekend") > 0, never, ("weekend",))
 
 
-def check_timestamps(df: DataFrame, now: Column, price: str | None = None, index: str = "timestamp") -> DataFrame:
+def timestamps(df: DataFrame, now: Column, price: str | None = None, index: str = "timestamp") -> Check:
     t = F.col(index)
     zero = (F.col(price) == 0) if price else F.lit(False)
-    got = df.agg(
-        count_if(t.isNull()).alias("nulls"),
-        count_if(t > now).alias("future"),
-        count_if(F.weekday(t) >= 5).alias("weekend"),
-        count_if((F.hour(t) == 9) & (F.minute(t) == 30) & zero).alias("zero_open"),
-    )
-    return verdict("timestamps", F.col("future") > 0, (F.col("nulls") + F.col("weekend") + F.col("zero_open")) > 0, counts_text("nulls", "future", "weekend", "zero_open"), got)
-
-
-def check_prices(df: DataFrame, prices: list[str]) -> DataFrame:
-    prices = [p for p in prices if p in df.columns]
-    negative = reduce(lambda a, b: a | b, [F.col(p) < 0 for p in prices], F.lit(False))
-    crossed = (F.col("bid") > F.col("ask")) & (F.col("ask") > 0) if {"bid", "ask"} <= set(df.columns) else F.lit(False)
+    aggregates = {
+        "nulls": count_if(t.isNull()),
+        "future": count_if(t > now),
+        "weekend": count_if(F.weekday(t) >= 5),
+        "zero_open": count_if((F.hour(t) == 9) & (F.minute(t) == 30) & zero),
+    }
+    return Check("timestamps", aggregates, lambda of: of("future") > 0, lambda of: of("nulls") + of("weekend") + of("zero_open") > 0, tuple(aggregates))
+
+
+def both_sides() -> Column:
+    return (F.col("bid") > 0) & (F.col("ask") > 0)
+
+
+def prices(df: DataFrame, columns: list[str]) -> Check:
+    """Negative prices, bid above ask in more than 1 % of the rows that have both, high below low."""
+    names = [p for p in columns if p in df.columns]
+    negative = reduce(lambda a, b: a | b, [F.col(p) < 0 for p in names], F.lit(False))
+    quoted = both_sides() if {"bid", "ask"} <= set(df.columns) else F.lit(False)
+    crossed = quoted & (F.col("bid") > F.col("ask")) if {"bid", "ask"} <= set(df.columns) else F.lit(False)
     bars = {"open", "high", "low", "close"} <= set(df.columns)
     upside = (F.col("high") < F.col("low")) & (F.least("open", "high", "low", "close") > 0) if bars else F.lit(False)
-    got = df.agg(F.count(F.lit(1)).alias("n"), count_if(negative).alias("negative"), count_if(crossed).alias("crossed"), count_if(upside).alias("inverted"))
-    fail = (F.col("negative") > 0) | (share(F.col("crossed"), F.col("n")) > 0.01) | (F.col("inverted") > 0)
-    return verdict("prices", fail, F.col("crossed") > 0, counts_text("negative", "crossed", "inverted"), got)
+    aggregates = {"quoted": count_if(quoted), "negative": count_if(negative), "crossed": count_if(crossed), "inverted": count_if(upside)}
+    fail = lambda of: (of("negative") > 0) | (share(of("crossed"), of("quoted")) > 0.01) | (of("inverted") > 0)
+    return Check("prices", aggregates, fail, lambda of: of("crossed") > 0, ("negative", "crossed", "inverted"))
 
 
-def check_strikes(df: DataFrame, low: float = 50, high: float = 15_000, underlying: str | None = None, far: float = 0.5) -> DataFrame:
+def strikes(df: DataFrame, low: float = 50, high: float = 15_000, underlying: str | None = None, far: float = 0.5) -> Check:
     """underlying: also warn of strikes further than `far` of that price away."""
     off = F.abs(F.col("strike") / F.nullif(F.col(underlying).cast("double"), F.lit(0.0)) - 1) > far if underlying else F.lit(False)
-    got = df.agg(count_if(F.col("strike") <= 0).alias("not_positive"), count_if((F.col("strike") < low) | (F.col("strike") > high)).alias("odd"), count_if(off).alias("far"))
-    return verdict("strikes", F.col("not_positive") > 0, (F.col("odd") + F.col("far")) > 0, counts_text("not_positive", "odd", "far"), got)
+    aggregates = {"not_positive": count_if(F.col("strike") <= 0), "odd": count_if((F.col("strike") < low) | (F.col("strike") > high)), "far": count_if(off)}
+    return Check("strikes", aggregates, lambda of: of("not_positive") > 0, lambda of: of("odd") + of("far") > 0, tuple(aggregates))
 
 
-def check_greeks(df: DataFrame, delta: str = "delta", iv: str = "implied_vol", vega: str = "vega") -> DataFrame:
+def greeks(df: DataFrame, delta: str = "delta", iv: str = "implied_vol", vega: str = "vega") -> Check:
     has = lambda c, x: x(F.col(c)) if c in df.columns else F.lit(False)
-    got = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        count_if(has(delta, lambda c: F.abs(c) > 1.01)).alias("delta_out"),
-        count_if(has(iv, lambda c: c < 0)).alias("iv_negative"),
-        count_if(has(iv, lambda c: c > 5)).alias("iv_high"),
-        count_if(has(vega, lambda c: c < -0.001)).alias("vega_negative"),
-    )
-    warn = (F.col("delta_out") > 0) | (F.col("iv_negative") > 0) | (share(F.col("iv_high"), F.col("n")) > 0.2) | (share(F.col("vega_negative"), F.col("n")) > 0.01)
-    return verdict("greeks", F.lit(False), warn, counts_text("delta_out", "iv_negative", "iv_high", "vega_negative"), got)
-
-
-def spread_quantiles(df: DataFrame) -> DataFrame:
-    """n, wide (spread above 100 %), and the median, 95th and 99th percentile of the spread in per cent."""
-    middle = (F.col("bid") + F.col("ask")) / 2
-    rows = df.select((F.try_divide(F.col("ask") - F.col("bid"), middle) * 100).alias("spread"), middle.alias("m")).where("m > 0")
-    q = F.percentile("spread", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    return rows.agg(F.count(F.lit(1)).alias("n"), count_if(F.col("spread") > 100).alias("wide"), q.alias("q")).select("n", "wide", F.get("q", F.lit(0)).alias("median"), F.get("q", F.lit(1)).alias("p95"), F.get("q", F.lit(2)).alias("p99"))
-
-
-def check_spreads(df: DataFrame) -> DataFrame:
-    return verdict("spreads", F.lit(False), share(F.col("wide"), F.col("n")) > 0.05, counts_text("n", "wide"), spread_quantiles(df))
+    aggregates = {
+        "n": F.count(F.lit(1)),
+        "delta_out": count_if(has(delta, lambda c: F.abs(c) > 1.01)),
+        "iv_negative": count_if(has(iv, lambda c: c < 0)),
+        "iv_high": count_if(has(iv, lambda c: c > 5)),
+        "vega_negative": count_if(has(vega, lambda c: c < -0.001)),
+    }
+    warn = lambda of: (of("delta_out") > 0) | (of("iv_negative") > 0) | (share(of("iv_high"), of("n")) > 0.2) | (share(of("vega_negative"), of("n")) > 0.01)
+    return Check("greeks", aggregates, never, warn, tuple(aggregates)[1:])
+
+
+#: Spreads of rows with both prices above zero lie within 200 % either way; a bucket of them is a hundredth of 1 %.
+BUCKETS_A_POINT = 100
+
+
+def spread_quantiles(df: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """n, wide (spread above 100 %), and the exact, interpolated median, 95th and 99th percentile of the spread in per cent, of rows with bid and ask above 0.
+
+    A histogram of at most 400 * BUCKETS_A_POINT buckets tells where the quantiles lie; only the values of those buckets
+    are counted one by one, so that no task holds all the values.
+    """
+    spread = F.try_divide(F.col("ask") - F.col("bid"), (F.col("bid") + F.col("ask")) / 2) * 100
+    rows = df.where(both_sides()).select(spread.cast("double").alias("s")).withColumn("b", F.floor(F.col("s") * BUCKETS_A_POINT))
+    place = lambda q: F.lit(q) * (F.col("n") - 1)
+    ranks = F.array_distinct(F.array(*[f(place(q)).cast("long") for q in quantiles for f in (F.floor, F.ceil)]))
+    every, upto = Window.partitionBy(), Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)  # over the buckets
+    buckets = rows.groupBy("b").agg(F.count(F.lit(1)).alias("c"), count_if(F.col("s") > 100).alias("w"))
+    buckets = buckets.select("b", "c", (F.sum("c").over(upto) - F.col("c")).alias("before"), F.sum("c").over(every).alias("n"), F.sum("w").over(every).alias("wide"))
+    buckets = buckets.withColumn("ranks", F.filter(ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("c")))).where(F.size("ranks") > 0)
+    inside = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
+    values = rows.join(F.broadcast(buckets.drop("c")), "b").groupBy("b", "before", "n", "wide", "ranks", "s").agg(F.count(F.lit(1)).alias("k"))
+    values = values.withColumn("low", F.col("before") + F.sum("k").over(inside) - F.col("k"))
+    at = values.select("n", "wide", "s", F.explode(F.filter("ranks", lambda r: (r >= F.col("low")) & (r < F.col("low") + F.col("k")))).alias("rank"))
+    whole = at.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.coalesce(F.max("wide"), F.lit(0)).alias("wide"), F.map_from_entries(F.collect_list(F.struct("rank", "s"))).alias("at"))
+
+    def value(q: float) -> Column:
+        low, high = (F.try_element_at("at", f(place(q)).cast("long")) for f in (F.floor, F.ceil))
+        return low + (high - low) * (place(q) - F.floor(place(q)))
+
+    return whole.select("n", "wide", *[value(q).alias(name) for q, name in zip(quantiles, ("median", "p95", "p99"))])
+
+
+def spreads(df: DataFrame) -> Check:
+    """Spreads above 100 % in more than 5 % of the rows that have both prices, or no such row."""
+    wide = (F.col("ask") - F.col("bid")) > (F.col("bid") + F.col("ask")) / 2
+    aggregates = {"n": count_if(both_sides()), "wide": count_if(both_sides() & wide)}
+    return Check("spreads", aggregates, never, lambda of: (of("n") == 0) | (share(of("wide"), of("n")) > 0.05), tuple(aggregates))
 
 
 def duplicates(df: DataFrame) -> DataFrame:
@@ -119,14 +185,13 @@ def check_duplicates(df: DataFrame) -> DataFrame:
     return verdict("duplicates", share(F.col("repeated"), F.col("total")) > 0.01, F.col("repeated") > 0, counts_text("total", "repeated"), duplicates(df))
 
 
-def check_dte(df: DataFrame, days: int, index: str = "timestamp") -> DataFrame:
+def dte(df: DataFrame, days: int, index: str = "timestamp") -> Check:
     """0: expiry is the day itself, 1: the next business day; more days aren't checked."""
     name = expiry_column(df)
     day, end = F.to_date(index), expiry_day(F.col(name), df.schema[name].dataType)
     off = end != day if days == 0 else end != next_business_day(day) if days == 1 else F.lit(False)
-    got = df.agg(F.count(F.lit(1)).alias("n"), count_if(off).alias("off"))
-    warn = F.col("off") > 0 if days == 0 else share(F.col("off"), F.col("n")) > 0.05
-    return verdict("dte", F.lit(False), warn, counts_text("n", "off"), got)
+    aggregates = {"n": F.count(F.lit(1)), "off": count_if(off)}
+    return Check("dte", aggregates, never, lambda of: of("off") > 0 if days == 0 else share(of("off"), of("n")) > 0.05, tuple(aggregates))
 
 
 def cross_prices(a: DataFrame, b: DataFrame, a_price: str, b_price: str, index: str = "timestamp", order: tuple[str, ...] = ()) -> DataFrame:
@@ -140,23 +205,23 @@ def check_cross_prices(*args, **kwargs) -> DataFrame:
     return verdict("cross_prices", F.lit(False), (F.col("points") < 10) | (F.col("largest") > 5), counts_text("points"), cross_prices(*args, **kwargs))
 
 
-def check_known_issues(df: DataFrame, symbols: list[str], side: str = "right") -> DataFrame:
+def known_issues(df: DataFrame, symbols: list[str], side: str = "right") -> Check:
     name = expiry_column(df)
     text = F.col(name).cast("string")
     year = F.year(expiry_day(F.col(name), df.schema[name].dataType))
-    got = df.agg(
-        count_if(text.startswith("1882") | (year > 2040)).alias("bogus_expiry"),
-        count_if(~F.col("symbol").isin(symbols)).alias("odd_symbols"),
-        count_if(F.upper(F.substring(side, 1, 1)) == "C").alias("calls"),
-        count_if(F.upper(F.substring(side, 1, 1)) == "P").alias("puts"),
-    )
-    ratio = share(F.least("calls", "puts"), F.greatest("calls", "puts"))
-    return verdict("known_issues", F.col("bogus_expiry") > 0, (F.col("odd_symbols") > 0) | (ratio < 0.3), counts_text("bogus_expiry", "odd_symbols", "calls", "puts"), got)
+    aggregates = {
+        "bogus_expiry": count_if(text.startswith("1882") | (year > 2040)),
+        "odd_symbols": count_if(~F.col("symbol").isin(symbols)),
+        "calls": count_if(F.upper(F.substring(side, 1, 1)) == "C"),
+        "puts": count_if(F.upper(F.substring(side, 1, 1)) == "P"),
+    }
+    one_sided = lambda of: share(F.least(of("calls"), of("puts")), F.greatest(of("calls"), of("puts"))) < 0.3
+    return Check("known_issues", aggregates, lambda of: of("bogus_expiry") > 0, lambda of: (of("odd_symbols") > 0) | one_sided(of), tuple(aggregates))
 
 
-def check_open_interest(df: DataFrame, name: str = "open_interest") -> DataFrame:
-    got = df.agg(count_if(F.col(name) < 0).alias("negative"), count_if(F.col(name).isNull()).alias("nulls"), F.max(name).alias("largest"))
-    return verdict("open_interest", F.col("negative") > 0, F.col("nulls") > 0, counts_text("negative", "nulls", "largest"), got)
+def open_interest(df: DataFrame, name: str = "open_interest") -> Check:
+    aggregates = {"negative": count_if(F.col(name) < 0), "nulls": count_if(F.col(name).isNull()), "largest": F.max(name)}
+    return Check("open_interest", aggregates, lambda of: of("negative") > 0, lambda of: of("nulls") > 0, tuple(aggregates))
 
 
 def file_sizes(spark: SparkSession, path: str) -> DataFrame:
@@ -166,13 +231,62 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def check_files(spark: SparkSession, path: str) -> DataFrame:
-    """Every listed file against what can be read of it."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select(F.col("path").alias("file"))
+    """Every listed file against what can be read of it: a corrupt file fails, an empty or small one warns."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select(F.col("path").alias("file"), F.col("length"))
     both = listed.join(file_sizes(spark, path), "file", "left")
     got = both.agg(F.count(F.lit(1)).alias("files"), count_if(F.col("rows").isNull()).alias("empty_or_corrupt"), count_if(F.col("rows") < 10).alias("small"))
     return verdict("files", F.col("files") == 0, (F.col("empty_or_corrupt") + F.col("small")) > 0, counts_text("files", "empty_or_corrupt", "small"), got)
 
 
+def statistics(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """dataset, files, rows and bytes of each dataset's folder, and of all as "TOTAL"; files that can't be read count no rows."""
+    each = []
+    for name, path in paths.items():
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select(F.col("path").alias("file"), F.col("length").alias("bytes"))
+        each.append(listed.join(file_sizes(spark, path), "file", "left").select(F.lit(name).alias("dataset"), "bytes", F.coalesce("rows", F.lit(0)).alias("rows")))
+    rows = reduce(lambda a, b: a.unionByName(b), each)
+    twice = rows.select(F.explode(F.array("dataset", F.lit("TOTAL"))).alias("dataset"), "rows", "bytes")
+    return twice.groupBy("dataset").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"))
+
+
+def most_recent(files: list[str]) -> str | None:
+    """The last file by name, that is of the latest session."""
+    return max(files, default=None)
+
+
+def check_store(spark: SparkSession, name: str, files: list[str], required: set[str], least: int = 0) -> DataFrame:
+    """A dataset of the store: files there, none unreadable or empty, and the most recent one with all required columns. files: the paths of its sessions."""
+    problems = []
+    if len(files) < max(1, least):
+        problems.append(f"{len(files)} files, at least {max(1, least)} expected")
+    rows = {}
+    if files:
+        read = spark.read.option("ignoreCorruptFiles", True).schema("_ int").parquet(*files)
+        rows = {r["file"]: r["n"] for r in read.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a file
+        held = [f for f in files if any(f.rpartition("/")[2] in x for x in rows)]
+        if len(held) < len(files):
+            problems.append(f"{len(files) - len(held)} empty or unreadable files")
+        latest = most_recent(files)
+        try:
+            if missing := sorted(required - set(spark.read.parquet(latest).columns)):
+                problems.append(f"missing columns {missing} in {latest.rpartition('/')[2]}")
+        except Exception as e:  # noqa: BLE001
+            problems.append(f"{latest.rpartition('/')[2]} can't be read: {type(e).__name__}")
+    detail = "; ".join(problems) or f"files={len(files)}, rows={sum(rows.values())}"
+    return spark.createDataFrame([(f"store {name}", "FAIL" if problems else "PASS", detail)], REPORT)
+
+
+def check_migration(spark: SparkSession, name: str, source: list, stored: list, files: list[str]) -> DataFrame:
+    """Every session of the source is stored, and the stored files can be read through; their rows are counted."""
+    missing = len(set(source) - set(stored))
+    try:
+        n, fine = (spark.read.parquet(*files).count() if files else 0), True
+    except Exception:  # noqa: BLE001
+        n, fine = 0, False
+    status = "FAIL" if missing or not fine else "WARN" if not source else "PASS"
+    return spark.createDataFrame([(f"migration {name}", status, f"sessions={len(source)}, missing={missing}, readable={str(fine).lower()}, rows={n}")], REPORT)
+
+
 def coverage(df: DataFrame, calendar: DataFrame, index: str = "timestamp") -> DataFrame:
     """expected, present: business days of the calendar (date) and those with rows."""
     have = df.select(F.to_date(index).alias("date"), F.lit(1).alias("here")).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,8 +13,8 @@ from tidemark.functions import dates, pricing
 from tidemark.operators import bars, lag
 from tidemark.operators.align import attach_daily, outer, prefixed
 from tidemark.operators.rules import apply_rules, forward_fill, rules_of
-from tidemark.plans import quality, regime, synthetic, views
-from tidemark.plans.loader import enforce
+from tidemark.plans import fetching, lake, quality, regime, synthetic, views
+from tidemark.plans.loader import PointInTimeLoader, enforce
 from tidemark.sources import scan, store
 
 QUERIES: dict = {}
@@ -137,7 +137,12 @@ def rule_add_mid(spark, d):
 
 @query("SELECT row_key, CASE WHEN bid+ask > 0 THEN CAST((ask-bid)/((bid+ask)/2)*100 AS FLOAT) END AS spread_pct FROM quotes", "quotes")
 def rule_spread_pct(spark, d):
-    return apply_rules(views.quotes(spark, d), rules_of("add_spread_pct")).select("row_key", "spread_pct")
+    return apply_rules(views.quotes(spark, d), rules_of("add_mid", "add_spread_pct")).select("row_key", "spread_pct")
+
+
+@query("SELECT row_key, strike FROM quotes", "quotes")
+def rule_outlier_without_quotes(spark, d):
+    return apply_rules(views.quotes(spark, d).select("row_key", "strike"), rules_of("filter_outlier_spread", "add_spread_pct"))
 
 
 @query("SELECT date, vix FROM daily WHERE date >= DATE '1996-04-13'", "daily")
@@ -303,7 +308,11 @@ def regime_demo(spark, d):
     return synthetic.demo_regime(views.daily(spark, d)).select("date", *_LABELS, "regime_score", "regime_2x2", "desk_bucket")
 
 
-@query(", x AS (SELECT row_key, ln(strike / underlying_price) / sqrt((open_interest + 1) / 365.0e0) AS m, implied_vol AS v FROM quotes WHERE underlying_price > 0) SELECT row_key, round(greatest(0.05e0, least(3.0e0, v - 0.1e0 * m + 0.1e0 * m * m)), 6) AS vol FROM x", "quotes")
+@query(
+    ", x AS (SELECT row_key, ln(strike / underlying_price) AS m, sqrt(greatest((open_interest + 1) / 365.0e0, 1 / 98280.0e0)) AS r, implied_vol AS v FROM quotes WHERE underlying_price > 0) "
+    "SELECT row_key, round(CASE WHEN w < 0.05 THEN 0.05e0 WHEN w > 3 THEN 3.0e0 ELSE w END, 6) AS vol FROM (SELECT row_key, v + v * 0.02e0 * (-0.9e0 * m / r) + v * 0.01e0 * 1.5e0 * pow(m / r, 2) AS w FROM x)",
+    "quotes",
+)
 def vol_smile(spark, d):
     q = views.quotes(spark, d).where("underlying_price > 0")
     vol = pricing.smile(F.col("underlying_price"), F.col("strike"), (F.col("open_interest") + 1) / F.lit(365.0), F.col("implied_vol"))
@@ -485,7 +494,7 @@ def timestamp_text(spark, d):
 # data checks
 
 
-@query(", x AS (SELECT (ask-bid)/((bid+ask)/2)*100 AS s FROM quotes WHERE bid+ask > 0) SELECT count(*) AS n, count(*) FILTER (WHERE s > 100) AS wide, round(quantile_cont(s, 0.5), 8) AS median, round(quantile_cont(s, 0.95), 8) AS p95, round(quantile_cont(s, 0.99), 8) AS p99 FROM x", "quotes")
+@query(", x AS (SELECT (ask-bid)/((bid+ask)/2)*100 AS s FROM quotes WHERE bid > 0 AND ask > 0) SELECT count(*) AS n, count(*) FILTER (WHERE s > 100) AS wide, round(quantile_cont(s, 0.5), 8) AS median, round(quantile_cont(s, 0.95), 8) AS p95, round(quantile_cont(s, 0.99), 8) AS p99 FROM x", "quotes")
 def dq_spread_quantiles(spark, d):
     q = quality.spread_quantiles(views.quotes(spark, d))
     return q.select("n", "wide", *[F.round(c, 8).alias(c) for c in ("median", "p95", "p99")])
@@ -521,35 +530,36 @@ _N = lambda w: f"count(*) FILTER (WHERE {w})"
 _EXP = "TRY_CAST(expiration AS DATE)"
 _CHECKS = {
     "prices": (
-        _check_sql("prices", {"n": "count(*)", "negative": _N("bid < 0 OR ask < 0 OR price < 0"), "crossed": _N("bid > ask AND ask > 0"), "inverted": "0"}, "negative > 0 OR crossed / n > 0.01 OR inverted > 0", "crossed > 0", ["negative", "crossed", "inverted"]),
-        lambda q: quality.check_prices(q, ["bid", "ask", "price"]),
+        _check_sql("prices", {"n": _N("bid > 0 AND ask > 0"), "negative": _N("bid < 0 OR ask < 0 OR price < 0"), "crossed": _N("bid > ask AND bid > 0 AND ask > 0"), "inverted": "0"}, "negative > 0 OR coalesce(crossed / nullif(n, 0), 0) > 0.01 OR inverted > 0", "crossed > 0", ["negative", "crossed", "inverted"]),
+        lambda q: quality.prices(q, ["bid", "ask", "price"]),
     ),
-    "strikes": (_check_sql("strikes", {"not_positive": _N("strike <= 0"), "odd": _N("strike < 950 OR strike > 15000"), "far": "0"}, "not_positive > 0", "odd + far > 0", ["not_positive", "odd", "far"]), lambda q: quality.check_strikes(q, low=950)),
+    "strikes": (_check_sql("strikes", {"not_positive": _N("strike <= 0"), "odd": _N("strike < 950 OR strike > 15000"), "far": "0"}, "not_positive > 0", "odd + far > 0", ["not_positive", "odd", "far"]), lambda q: quality.strikes(q, low=950)),
     "greeks": (
         _check_sql("greeks", {"n": "count(*)", "delta_out": "0", "iv_negative": _N("implied_vol < 0"), "iv_high": _N("implied_vol > 5"), "vega_negative": "0"}, "false", "delta_out > 0 OR iv_negative > 0 OR iv_high / n > 0.2 OR vega_negative / n > 0.01", ["delta_out", "iv_negative", "iv_high", "vega_negative"]),
-        quality.check_greeks,
+        quality.greeks,
     ),
     "timestamps": (
         _check_sql("timestamps", {"nulls": _N('"timestamp" IS NULL'), "future": _N("\"timestamp\" > TIMESTAMP '2030-01-01'"), "weekend": _N('isodow("timestamp") > 5'), "zero_open": _N('hour("timestamp") = 9 AND minute("timestamp") = 30 AND underlying_price = 0')}, "future > 0", "nulls + weekend + zero_open > 0", ["nulls", "future", "weekend", "zero_open"]),
-        lambda q: quality.check_timestamps(q, F.lit(dt.datetime(2030, 1, 1)).cast("timestamp_ntz"), "underlying_price"),
+        lambda q: quality.timestamps(q, F.lit(dt.datetime(2030, 1, 1)).cast("timestamp_ntz"), "underlying_price"),
     ),
-    "expirations": (_check_sql("expirations", {"weekend": f"count(DISTINCT expiration) FILTER (WHERE isodow({_EXP}) > 5 AND year({_EXP}) < 2040)"}, "weekend > 0", "false", ["weekend"]), quality.check_expirations),
-    "spreads": (_check_sql("spreads", {"n": _N("bid+ask > 0"), "wide": _N("bid+ask > 0 AND (ask-bid)/((bid+ask)/2)*100 > 100")}, "false", "wide / n > 0.05", ["n", "wide"]), quality.check_spreads),
-    "dte": (_check_sql("dte", {"n": "count(*)", "off": _N(f"{_EXP} <> CAST(\"timestamp\" AS DATE)")}, "false", "off > 0", ["n", "off"]), lambda q: quality.check_dte(q, 0)),
+    "expirations": (_check_sql("expirations", {"weekend": f"count(DISTINCT expiration) FILTER (WHERE isodow({_EXP}) > 5 AND year({_EXP}) < 2040)"}, "weekend > 0", "false", ["weekend"]), quality.expirations),
+    "spreads": (_check_sql("spreads", {"n": _N("bid > 0 AND ask > 0"), "wide": _N("bid > 0 AND ask > 0 AND ask-bid > (bid+ask)/2")}, "false", "n = 0 OR wide / n > 0.05", ["n", "wide"]), quality.spreads),
+    "dte": (_check_sql("dte", {"n": "count(*)", "off": _N(f"{_EXP} <> CAST(\"timestamp\" AS DATE)")}, "false", "off > 0", ["n", "off"]), lambda q: quality.dte(q, 0)),
     "known_issues": (
         _check_sql("known_issues", {"bogus_expiry": _N(f"starts_with(expiration, '1882') OR year({_EXP}) > 2040"), "odd_symbols": _N("symbol NOT IN ('SYN')"), "calls": _N("\"right\" = 'CALL'"), "puts": _N("\"right\" = 'PUT'")}, "bogus_expiry > 0", "odd_symbols > 0 OR least(calls, puts) / greatest(calls, puts) < 0.3", ["bogus_expiry", "odd_symbols", "calls", "puts"]),
-        lambda q: quality.check_known_issues(q, ["SYN"]),
+        lambda q: quality.known_issues(q, ["SYN"]),
     ),
-    "open_interest": (_check_sql("open_interest", {"negative": _N("open_interest < 0"), "nulls": _N("open_interest IS NULL"), "largest": "max(open_interest)"}, "negative > 0", "nulls > 0", ["negative", "nulls", "largest"]), quality.check_open_interest),
+    "open_interest": (_check_sql("open_interest", {"negative": _N("open_interest < 0"), "nulls": _N("open_interest IS NULL"), "largest": "max(open_interest)"}, "negative > 0", "nulls > 0", ["negative", "nulls", "largest"]), quality.open_interest),
 }
 for _name, (_sql, _check) in _CHECKS.items():
-    _named(f"dq_{_name}", _sql, ["quotes"], lambda spark, d, c=_check: c(views.quotes(spark, d)))
+    _named(f"dq_{_name}", _sql, ["quotes"], lambda spark, d, c=_check: quality.run(q := views.quotes(spark, d), [c(q)]))
 _ALL = " UNION ALL ".join(f"({sql})" for sql, _ in _CHECKS.values())
 
 
 @query(_ALL.replace("(SELECT", ", all_checks AS ((SELECT", 1) + ") SELECT * FROM all_checks", "quotes")
 def dq_report(spark, d):
-    return quality.report([c(views.quotes(spark, d)) for _, c in _CHECKS.values()])
+    q = views.quotes(spark, d)
+    return quality.run(q, [c(q) for _, c in _CHECKS.values()])
 
 
 @query(_ALL.replace("(SELECT", ", all_checks AS ((SELECT", 1) + ") SELECT count(*) FILTER (WHERE status = 'PASS') AS \"pass\", count(*) FILTER (WHERE status = 'WARN') AS warn, count(*) FILTER (WHERE status = 'FAIL') AS fail, CASE WHEN bool_or(status = 'FAIL') THEN 'ISSUES FOUND' WHEN bool_or(status = 'WARN') THEN 'WARNINGS ONLY' ELSE 'CLEAN' END AS verdict FROM all_checks", "quotes")
@@ -557,12 +567,124 @@ def dq_summary(spark, d):
     return quality.summary(dq_report(spark, d))
 
 
-@query("SELECT 'schema' AS \"check\", 'FAIL' AS status, 'missing=volume, extra=user_id' AS detail", "ticks")
+_DECLARED = ("timestamp", "event_id", "event_type", "value", "price", "props", "volume")
+_NAMES = "SELECT unnest(json_keys(to_json(t))) AS c FROM (SELECT * FROM ticks LIMIT 1) t"
+_WANT = "SELECT unnest([" + ", ".join(f"'{c}'" for c in _DECLARED) + "]) AS c"
+
+
+@query(
+    f", have AS ({_NAMES}), want AS ({_WANT}), lost AS (SELECT coalesce(string_agg(c, ',' ORDER BY c), '') AS m FROM (SELECT * FROM want EXCEPT SELECT * FROM have)), more AS (SELECT coalesce(string_agg(c, ',' ORDER BY c), '') AS x FROM (SELECT * FROM have EXCEPT SELECT * FROM want)) "
+    "SELECT 'schema' AS \"check\", CASE WHEN m <> '' THEN 'FAIL' WHEN x <> '' THEN 'WARN' ELSE 'PASS' END AS status, 'missing=' || m || ', extra=' || x AS detail FROM lost, more",
+    "ticks",
+)
 def dq_schema(spark, d):
-    declared = T.StructType([T.StructField(c, T.StringType()) for c in ("timestamp", "event_id", "event_type", "value", "price", "props", "volume")])
+    declared = T.StructType([T.StructField(c, T.StringType()) for c in _DECLARED])
     return quality.check_schema(views.ticks(spark, d), declared)
 
 
-@query("SELECT 'months' AS \"check\", 'WARN' AS status, 'n=1, missing=2' AS detail", "ticks")
+@query(
+    ", have AS (SELECT DISTINCT strftime(\"timestamp\", '%Y_%m') AS m FROM ticks), want AS (SELECT strftime(unnest(generate_series(DATE '2023-12-01', DATE '2024-02-28', INTERVAL 1 MONTH)), '%Y_%m') AS m), "
+    "c AS (SELECT (SELECT count(*) FROM have) AS n, (SELECT count(*) FROM (SELECT * FROM want EXCEPT SELECT * FROM have)) AS missing) "
+    "SELECT 'months' AS \"check\", CASE WHEN n = 0 THEN 'FAIL' WHEN missing > 0 THEN 'WARN' ELSE 'PASS' END AS status, 'n=' || n || ', missing=' || missing AS detail FROM c",
+    "ticks",
+)
 def dq_months(spark, d):
     return quality.check_months(views.ticks(spark, d), dates.months(spark, dt.date(2023, 12, 1), dt.date(2024, 2, 28)))
+
+
+# through the store and the loaders
+
+_FROM, _TO = dt.date(2024, 1, 5), dt.date(2024, 1, 25)
+_DAYS = "\"timestamp\" >= TIMESTAMP '2024-01-05' AND \"timestamp\" < TIMESTAMP '2024-01-26'"
+_F32 = "CAST(CAST({0} AS FLOAT) AS DOUBLE) AS {0}"
+
+
+@query(f"SELECT event_id, \"timestamp\", {_F32.format('price')} FROM ticks WHERE {_DAYS} AND event_type IN ('click', 'view') AND CAST(price AS FLOAT) >= 5", "ticks")
+def store_scan(spark, d):
+    return lake.loader(spark, d).load("ticks", (_FROM, _TO), columns=["event_id", "timestamp", "price"], filters=[("event_type", "IN", ["click", "view"]), ("price", ">=", 5)], clean=False)
+
+
+@query(f"SELECT event_id, user_id, {_F32.format('value')}, year(\"timestamp\")::INT AS year, month(\"timestamp\")::INT AS month FROM ticks WHERE {_DAYS} AND CAST(price AS FLOAT) > 0", "ticks")
+def store_scan_by_alias(spark, d):
+    return lake.loader(spark, d).load("old_ticks", (_FROM, _TO), columns=["event_id", "user_id", "value", "year", "month"])
+
+
+@query(f"SELECT count(*) AS n, 0 AS inversions FROM ticks WHERE {_DAYS}", "ticks")
+def store_order(spark, d):
+    rows = lake.loader(spark, d).load("ticks", (_FROM, _TO), columns=["event_id", "timestamp"], clean=False).withColumn("i", F.monotonically_increasing_id())
+    return inversions(rows.withColumn("block", F.floor(F.col("i") / 4096)))
+
+
+def inversions(rows: DataFrame) -> DataFrame:
+    """n, and how many rows have an earlier timestamp than the row before them in the same block, or blocks that begin before an earlier one ended. rows: timestamp, i (place), block."""
+    inside = F.lag("timestamp").over(Window.partitionBy("block").orderBy("i"))
+    turned = rows.withColumn("before", inside).groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") > F.col("timestamp")).alias("k"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
+    over = F.max("last").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    each = turned.withColumn("late", (F.coalesce(over, F.col("first")) > F.col("first")).cast("int"))
+    return each.agg(F.sum("n").alias("n"), F.sum(F.col("k") + F.col("late")).cast("int").alias("inversions"))
+
+
+@query('SELECT DISTINCT CAST("timestamp" AS DATE) AS date FROM ticks', "ticks")
+def store_available(spark, d):
+    return spark.createDataFrame([(x,) for x in lake.loader(spark, d).available_dates("ticks")], "date date")
+
+
+@query(f"SELECT event_id, CAST(date_diff('day', CAST(\"timestamp\" AS DATE), CAST(expiration AS DATE)) AS INTEGER) AS dte FROM (SELECT *, CAST(\"timestamp\" AS DATE) + 2 AS expiration FROM ticks) WHERE {_DAYS}", "ticks")
+def store_dte(spark, d):
+    rows = lake.loader(spark, d).load("ticks", (_FROM, _TO), clean=False, sort=False)
+    return scan.with_dte(rows.withColumn("expiration", F.date_add(F.to_date("timestamp"), 2))).select("event_id", "dte")
+
+
+_SIDES = (_side_sql("click", "click"), _side_sql("view", "view"))
+_LOADED = f", {_SIDES[0]}, {_SIDES[1]}, ab AS (SELECT * FROM click FULL JOIN view USING (\"timestamp\")), d AS (SELECT CAST(\"timestamp\" AS DATE) AS date, count(*) AS n, max(value) AS top FROM ticks GROUP BY 1), dl AS (SELECT lead(date) OVER (ORDER BY date) AS date, n, top FROM d), al AS (SELECT ab.*, n, top FROM ab LEFT JOIN dl ON CAST(ab.\"timestamp\" AS DATE) = dl.date) "
+
+
+@query(_LOADED + f"SELECT * FROM al WHERE {_DAYS}", "ticks")
+def loader_aligned(spark, d):
+    return lake.loader(spark, d).load_aligned((_FROM, _TO), datasets=("click_ohlc", "view_ohlc", "day_regime"))
+
+
+@query(_LOADED + "SELECT * FROM al WHERE \"timestamp\" >= TIMESTAMP '2024-01-05' AND \"timestamp\" < TIMESTAMP '2024-01-21'", "ticks")
+def loader_point_in_time(spark, d):
+    return PointInTimeLoader(lake.loader(spark, d), CUTOFF).load_aligned((_FROM, _TO), datasets=("click_ohlc", "view_ohlc", "day_regime"))
+
+
+@query(f"SELECT event_id, \"timestamp\", {_F32.format('price')} FROM ticks WHERE \"timestamp\" >= TIMESTAMP '2024-01-05' AND \"timestamp\" < TIMESTAMP '2024-01-21' AND CAST(price AS FLOAT) > 0", "ticks")
+def loader_cutoff(spark, d):
+    return PointInTimeLoader(lake.loader(spark, d), CUTOFF).load("ticks", (_FROM, _TO), columns=["event_id", "timestamp", "price"])
+
+
+@query('SELECT CAST("timestamp" AS DATE) AS session, count(*) AS rows FROM ticks GROUP BY 1', "ticks")
+def store_file_sizes(spark, d):
+    sizes = quality.file_sizes(spark, f"{lake.top(spark, d)}/store/ticks")
+    return sizes.groupBy(F.to_date(F.regexp_extract("file", store.SESSION_OF, 1), "yyyyMMdd").alias("session")).agg(F.sum("rows").alias("rows"))
+
+
+@query(
+    ", t AS (SELECT 'ticks' AS dataset, count(DISTINCT CAST(\"timestamp\" AS DATE)) AS files, count(*) AS rows FROM ticks), c AS (SELECT 'click_ohlc' AS dataset, count(DISTINCT CAST(\"timestamp\" AS DATE)) AS files, count(DISTINCT time_bucket(INTERVAL '1 hour', \"timestamp\")) AS rows FROM ticks WHERE event_type = 'click') "
+    "SELECT * FROM t UNION ALL SELECT * FROM c UNION ALL SELECT 'TOTAL', t.files + c.files, t.rows + c.rows FROM t, c",
+    "ticks",
+)
+def store_statistics(spark, d):
+    where = lake.top(spark, d)
+    return quality.statistics(spark, {n: f"{where}/store/{n}" for n in ("ticks", "click_ohlc")}).select("dataset", "files", "rows")
+
+
+@query(
+    ", s AS (SELECT count(DISTINCT CAST(\"timestamp\" AS DATE)) AS k, count(DISTINCT time_bucket(INTERVAL '1 hour', \"timestamp\")) AS n FROM ticks WHERE event_type = 'view') "
+    "SELECT 'migration view_ohlc' AS \"check\", 'PASS' AS status, 'sessions=' || k || ', missing=0, readable=true, rows=' || n AS detail FROM s UNION ALL SELECT 'store view_ohlc', 'PASS', 'files=' || k || ', rows=' || n FROM s",
+    "ticks",
+)
+def store_validation(spark, d):
+    where = lake.top(spark, d)
+    own = store.Store(spark, f"{where}/raw", where, lake.CATALOG)
+    files = own.stored_files("view_ohlc")
+    return quality.report([quality.check_migration(spark, "view_ohlc", own.dates("view_ohlc"), own.available("view_ohlc"), files), quality.check_store(spark, "view_ohlc", files, {"timestamp", "close"})])
+
+
+@query(
+    ", x AS (SELECT unnest(generate_series(DATE '2024-01-10', DATE '2024-03-05', INTERVAL 1 DAY))::DATE AS date) SELECT 'greeks/' || strftime(date, '%Y_%m') AS key, date AS start, date AS \"end\", CAST(date + CASE isodow(date) WHEN 5 THEN 3 ELSE 1 END AS DATE) AS expiration FROM x WHERE isodow(date) <= 5",
+    "daily",
+)
+def fetch_schedule(spark, d):
+    return fetching.schedule(spark, "greeks", dt.date(2024, 1, 10), dt.date(2024, 3, 5), dte=1)
