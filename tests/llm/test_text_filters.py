@@ -236,7 +236,9 @@ def brute_bins(text):
     return {k: sum(1000 * a >= e * b for e in page_outcomes.EDGES) for k, (a, b) in n.items()}
 
 
-def test_page_outcomes_equal_brute_force(spark):
+@pytest.mark.parametrize("few", [page_outcomes.KNOWN_ROWS, 0])
+def test_page_outcomes_equal_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(page_outcomes, "KNOWN_ROWS", few)
     texts = [(i, (prose(i, 30) if i % 3 else "BUY! | NOW! | $$$ 100 " * (i + 1))) for i in range(60)] + [(60, None), (61, "")]  # noqa: F405
     labels = [(i, int(i % 3 != 0)) for i in range(62)] + [(1, 0), (99, 1)]
     judge = page_outcomes.learn(docs_of(spark, texts), spark.createDataFrame(labels, "doc_id long, label int"))  # noqa: F405

@@ -26,6 +26,9 @@ EDGES = (1, 2, 3, 6, 11, 21, 51, 101, 151, 201, 301, 501, 701, 901, 1000)
 # Words of urls that a page is bad for
 BAD_WORDS = ("adult", "ads", "bet", "bets", "betting", "casino", "gambling", "pills", "poker", "porn", "sex", "spam", "viagra", "xxx")
 
+#: Labelled ids up to which they are broadcast to the documents.
+KNOWN_ROWS = 2_000_000
+
 ARTICLE = "(?s)<article[^>]*>(.*?)</article>"
 HIDDEN = "(?is)<(script|style)[^>]*>.*?</(script|style)>"
 TAG = "<[^>]*>"
@@ -87,9 +90,13 @@ class TextJudge:
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label") -> TextJudge | None:
     """Counts over all labelled documents; None where not both labels occur. labels: id and label (0 or 1)."""
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).distinct()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(known, "id")
+    known = materialize(known, "page-labels")
+    few = known.count() <= KNOWN_ROWS
     listed = through(spaced(F.col("text")), counts, lambda c: F.array(*[F.struct(F.lit(s).alias("s"), b.alias("b")) for s, b in bins(c).items()]))
-    each = texts.select("label", F.explode(listed).alias("x"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # texts never move: few labels go to them, or else a text's bins go to the labels
+    binned = texts.join(F.broadcast(known), "id").select("label", listed.alias("x")) if few else texts.select("id", listed.alias("x")).join(known, "id")
+    each = binned.select("label", F.explode("x").alias("x"))
     got = {(r["s"], r["b"], r["label"]): r["count"] for r in each.groupBy("x.s", "x.b", "label").count().collect()}
     n = [sum(v for (s, _, label), v in got.items() if (s, label) == (STATISTICS[0], c)) for c in (0, 1)]
     if not n[0] or not n[1]:
