@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.lag import feature_lag
+
 UNITS = {"s": "seconds", "m": "minutes", "h": "hours", "d": "days"}
 CALENDAR = {"w": "WEEK", "mo": "MONTH", "q": "QUARTER", "y": "YEAR"}
 
@@ -47,7 +49,7 @@ def ohlc_from_price(df: DataFrame, price: str = "price", keep: tuple[str, ...] =
 
 
 def bars_from_path(df: DataFrame, value: str, index: str = "timestamp", by: tuple[str, ...] = (), order: tuple[str, ...] = ()) -> DataFrame:
-    """Bars of a path: open is the value before (the first its own), high and low hold both ends."""
-    before = F.coalesce(F.lag(value).over(Window.partitionBy(*by).orderBy(index, *order)), F.col(value))
-    out = df.withColumn("open", before)
+    """Bars of a path: open is the value before (the first its own), high and low hold both ends. Blocks of days, as in feature_lag(): no series meets in one task."""
+    before = f"{value}_lag1"
+    out = feature_lag(df, [value], 1, list(by), order, index).withColumn("open", F.coalesce(before, value)).drop(before)
     return out.withColumns({"high": F.greatest("open", value), "low": F.least("open", value), "close": F.col(value)})

@@ -60,13 +60,13 @@ def build(daily: DataFrame, x: str = "vix", y: str = "vvix", ratio: str = "vov")
 
 
 def rank_average(value: Column) -> Column:
-    """Average rank over all rows, divided by their number."""
+    """Average rank over all rows, divided by their number. For daily series only: all rows (one a date) meet in one task."""
     w = Window.orderBy(value)
     peers = F.count(F.lit(1)).over(Window.partitionBy(value))
     return (F.rank().over(w) + (peers - 1) / 2) / F.count(F.lit(1)).over(Window.partitionBy())
 
 
 def z_all(value: Column) -> Column:
-    """z-score over all rows by the sample deviation; 0 where they don't vary."""
+    """z-score over all rows by the sample deviation; 0 where they don't vary. For daily series only: all rows (one a date) meet in one task."""
     w = Window.partitionBy()
     return F.coalesce(F.try_divide(value - F.avg(value).over(w), F.nullif(F.stddev_samp(value).over(w), F.lit(0.0))), F.lit(0.0))
