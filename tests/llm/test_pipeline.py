@@ -59,3 +59,54 @@ def test_rows_without_an_id_are_decided_like_others(spark):
     item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
     docs = docs_of(spark, [(None, f"moss {item} slate"), (None, "moss slate"), (1, f"{item}"), (1, "river slate")])  # noqa: F405
     assert sorted(r.text for r in corpus_pipeline.decontaminated(spark, docs, SF).collect()) == ["moss slate", "river slate"]
+
+
+def test_the_pipeline_equals_brute_force(spark, tmp_path):
+    """Planted junk, copies, benchmark passages and personal data, stage by stage in plain Python."""
+    from test_search_near import jaccard_components
+    from test_text_filters import base, brute_windows
+
+    from tidemark.llm import rule_ensemble, tokens
+    from tidemark.llm.common import table
+
+    good = {i: prose(700 + i, 120) for i in range(90)}  # noqa: F405
+    items = [(1, prose(1500, 30)), (2, prose(1501, 14))]  # noqa: F405
+    docs = [(i, t + ".") for i, t in good.items()]
+    docs += [(200 + i, "| $$$ !! | buy | " * (20 + i)) for i in range(40)]
+    docs += [(300 + i, good[i] + ".") for i in range(10)] + [(320 + i, " ".join(good[i].split()[:-3]) + " three new words") for i in range(10, 20)]
+    docs += [(400 + i, f"{prose(800 + i, 80)} {items[i % 2][1]} {prose(900 + i, 20)}.") for i in range(6)]  # noqa: F405
+    docs += [(500 + i, f"{prose(1000 + i, 90)} write to a{i}@b.cd or 10.0.0.{i} and call +1 (555) 123-{4000 + i} now.") for i in range(12)]  # noqa: F405
+    where = str(tmp_path)
+    rows = [(i, t, "en", "s", len(t)) for i, t in docs]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{where}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{where}/benchmark.parquet")
+    labels = [(i, int(not 200 <= i < 240), 0) for i, _ in docs]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{where}/labels.parquet")
+
+    model = corpus_pipeline.quality_model(spark, table(spark, where, "documents"), where)
+    names = list(rule_ensemble.STATISTICS)
+
+    def keeps(text):
+        x = rule_ensemble.statistics(text)
+        return model.intercept + sum(w for w, r in model.rules if all((x[names.index(n)] > t) == above for n, above, t in r.parts)) >= 0
+
+    left = [(i, t) for i, t in docs if keeps(t)]
+    assert {i for i, _ in docs} - {i for i, _ in left} == set(range(200, 240))
+    component = jaccard_components(left, 5)
+    left = [(i, t) for i, t in left if component[i][1] == i]
+    assert not {i for i, _ in left} & {*range(300, 310), *range(330, 340)}
+    hit = {i for i, _, n, _ in brute_windows(left, items) if n}
+    assert hit == set(range(400, 406))
+    left = [(i, t) for i, t in left if i not in hit]
+    masked = []
+    for i, t in left:
+        spans = sorted((int(a), int(b), k) for k, a, b in (x.split(":") for x in base(t).split(",") if x))
+        for a, b, k in reversed(spans):
+            t = f"{t[:a]}<{k}>{t[b:]}"
+        masked.append((i, t))
+    count = tokens.token_counter(spark)
+    want = {r[0]: r[1] for r in spark.createDataFrame(masked, "doc_id long, text string").select("doc_id", count("text")).collect()}
+    got = {}
+    for r in corpus_pipeline.run(spark, where).collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.n_tokens
+    assert got == want

@@ -1,3 +1,5 @@
+import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -23,6 +25,50 @@ def test_rules_find_the_pattern_and_compile(spark):
     assert ((got >= 0.5) == y[:300]).mean() > 0.98
 
 
+def test_weights_are_the_lasso_optimum():
+    """Karush-Kuhn-Tucker conditions: the loss's slope is -l1 * sign where a weight is not zero, and no steeper than l1 where it is; zero at the intercept."""
+    r = np.random.default_rng(4)
+    x = (r.random((1500, 12)) < 0.4).astype(np.float64)
+    y = (r.random(1500) < 1 / (1 + np.exp(-(2 * x[:, 0] - 3 * x[:, 1] + 0.5)))).astype(np.float64)
+    for l1 in (0.002, 0.02, 0.2):
+        first, weights = rule_ensemble.lasso_logistic(x, y, l1=l1, rounds=3000)
+        off = 1 / (1 + np.exp(-(first + x @ weights))) - y
+        slope = x.T @ off / len(y)
+        on = weights != 0
+        assert abs(off.mean()) < 1e-5 and np.allclose(slope[on], -l1 * np.sign(weights[on]), atol=1e-5) and (np.abs(slope[~on]) <= l1 + 1e-5).all()
+    assert not weights.any()
+
+
+def test_the_quality_query_equals_brute_force(spark):
+    """Every document's score from its statistics, rule by rule; the fit sees only the rows it may."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = queries.quality_model(spark, docs, SF)
+    got = {r.doc_id: r for r in queries.op3_quality_rules(spark, SF).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows) and 0 < len(model.rules)
+    for r in rows:
+        own = dict(zip(rule_ensemble.STATISTICS, rule_ensemble.statistics(r.text)))
+        total = model.intercept
+        for w, rule in model.rules:
+            total += w if all((own[n] > t) if above else (own[n] <= t) for n, above, t in rule.parts) else 0.0
+        p = 1 / (1 + math.exp(-total))
+        assert abs(got[r.doc_id].score - p) < 1e-9 and got[r.doc_id].predicted == int(p >= 0.5)
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if zlib.crc32(str(r.doc_id).encode()) % 3 != 1}
+    seen = [(rule_ensemble.statistics(r.text), labels[r.doc_id]) for r in rows if r.doc_id in labels]
+    again = rule_ensemble.fit(np.array([x for x, _ in seen]), np.array([y for _, y in seen], float))
+    # the order of the rows moves sums in their last digits, and with them rules that weigh next to nothing
+    x = np.array([rule_ensemble.statistics(r.text) for r in rows])
+    total = lambda m: m.intercept + sum(w * rule.on(x) for w, rule in m.rules)
+    assert np.abs(total(again) - total(model)).max() < 0.05
+
+
+def test_quality_keeps_columns_of_any_name(spark, edge):
+    model = rule_ensemble.learn(edge, spark.createDataFrame([(1, 1), (9, 0)], "doc_id long, label int"))
+    rows = rule_ensemble.score(edge, model, "own").collect()
+    assert set(rows[0].asDict()) == {*edge.columns, "own"} and {r._stats for r in rows} == {7}
+
+
 def test_quality_edges(spark, edge, empty):
     labels = spark.createDataFrame([(1, 1), (2, 0), (6, 1), (6, 0), (None, 1), (9, None)], "doc_id long, label int")
     model = rule_ensemble.learn(edge, labels)

@@ -190,6 +190,8 @@ def test_spans_and_nearness(spark, empty):
     assert spans == {1: [(2, 12)], 2: [], 3: []}
     near = {(r["doc_id"], r["from"], r["to"]) for r in decontamination.near(index, [("p", phrase)], slop=3).collect()}
     assert near == {(1, 2, 12), (2, 0, 12)}
+    unnamed = docs_of(spark, [(None, phrase), (0, "moss")])  # noqa: F405
+    assert [(r["doc_id"], r["from"], r["to"]) for r in decontamination.near(decontamination.build_index(unnamed), [("p", phrase)]).collect()] == [(None, 0, 10)]
     assert decontamination.decontaminate(empty, items).count() == 0
     assert decontamination.decontaminate(docs, items.where("false")).where("n_hit > 0").count() == 0
 

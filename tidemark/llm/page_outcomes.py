@@ -96,7 +96,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # texts never move: few labels go to them, or else a text's bins go to the labels
     binned = texts.join(F.broadcast(known), "id").select("label", listed.alias("x")) if few else texts.select("id", listed.alias("x")).join(known, "id")
-    each = binned.select("label", F.explode("x").alias("x"))
+    each = binned.select("label", F.explode_outer("x").alias("x"))  # explode() would have the optimizer filter by the list's size, which computes it twice
     got = {(r["s"], r["b"], r["label"]): r["count"] for r in each.groupBy("x.s", "x.b", "label").count().collect()}
     n = [sum(v for (s, _, label), v in got.items() if (s, label) == (STATISTICS[0], c)) for c in (0, 1)]
     if not n[0] or not n[1]:
