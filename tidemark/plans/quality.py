@@ -239,14 +239,15 @@ def check_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def statistics(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """dataset, files, rows and bytes of each dataset's folder, and of all as "TOTAL"; files that can't be read count no rows."""
+    """dataset, files, rows and bytes of each dataset's folder, the smallest, largest and mean file in rows, and of all as "TOTAL"; files that can't be read count no rows."""
     each = []
     for name, path in paths.items():
         listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select(F.col("path").alias("file"), F.col("length").alias("bytes"))
         each.append(listed.join(file_sizes(spark, path), "file", "left").select(F.lit(name).alias("dataset"), "bytes", F.coalesce("rows", F.lit(0)).alias("rows")))
     rows = reduce(lambda a, b: a.unionByName(b), each)
     twice = rows.select(F.explode(F.array("dataset", F.lit("TOTAL"))).alias("dataset"), "rows", "bytes")
-    return twice.groupBy("dataset").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"))
+    each = [F.min("rows").alias("least"), F.max("rows").alias("most"), F.avg("rows").alias("mean")]
+    return twice.groupBy("dataset").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), *each)
 
 
 def most_recent(files: list[str]) -> str | None:

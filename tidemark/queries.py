@@ -661,13 +661,13 @@ def store_file_sizes(spark, d):
 
 
 @query(
-    ", t AS (SELECT 'ticks' AS dataset, count(DISTINCT CAST(\"timestamp\" AS DATE)) AS files, count(*) AS rows FROM ticks), c AS (SELECT 'click_ohlc' AS dataset, count(DISTINCT CAST(\"timestamp\" AS DATE)) AS files, count(DISTINCT time_bucket(INTERVAL '1 hour', \"timestamp\")) AS rows FROM ticks WHERE event_type = 'click') "
-    "SELECT * FROM t UNION ALL SELECT * FROM c UNION ALL SELECT 'TOTAL', t.files + c.files, t.rows + c.rows FROM t, c",
+    ", f AS (SELECT 'ticks' AS dataset, count(*) AS n FROM ticks GROUP BY CAST(\"timestamp\" AS DATE) UNION ALL SELECT 'click_ohlc', count(DISTINCT time_bucket(INTERVAL '1 hour', \"timestamp\")) FROM ticks WHERE event_type = 'click' GROUP BY CAST(\"timestamp\" AS DATE)) "
+    "SELECT coalesce(dataset, 'TOTAL') AS dataset, count(*) AS files, CAST(sum(n) AS BIGINT) AS rows, min(n) AS least, max(n) AS most, round(avg(n), 6) AS mean FROM f GROUP BY GROUPING SETS ((dataset), ())",
     "ticks",
 )
 def store_statistics(spark, d):
     where = lake.top(spark, d)
-    return quality.statistics(spark, {n: f"{where}/store/{n}" for n in ("ticks", "click_ohlc")}).select("dataset", "files", "rows")
+    return quality.statistics(spark, {n: f"{where}/store/{n}" for n in ("ticks", "click_ohlc")}).select("dataset", "files", "rows", "least", "most", F.round("mean", 6).alias("mean"))
 
 
 @query(
