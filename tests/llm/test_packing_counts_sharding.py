@@ -5,7 +5,7 @@ import pytest
 from conftest import *  # noqa: F403
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, queries, sharding, token_counts
+from tidemark.llm import packing, queries, sharding, token_counts, tokens
 from tidemark.llm.common import gapless_rank
 from tidemark.llm.tokens import token_counter
 
@@ -52,6 +52,62 @@ def test_pack(spark, edge, empty):
     assert packing.pack(empty).count() == 0
 
 
+def plain_lengths(spark, sf):
+    """Tokens of every document, without Spark's batches."""
+    encode = tokens._encoding(open(tokens.VOCABULARY, "rb").read()).encode_ordinary
+    return {r.doc_id: len(encode(r.text)) if r.text else 0 for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+
+
+def plain_bounds(hist, k):
+    """Least padding of k buckets by trying every last boundary, over sorted lengths."""
+    lengths = sorted(hist)
+    cost = lambda a, b: sum(hist[x] * (lengths[b] - x) for x in lengths[a : b + 1])
+    best = {(-1, 0): 0}
+    for j in range(1, k + 1):
+        for b in range(len(lengths)):
+            options = [best[a, j - 1] + cost(a + 1, b) for a in range(-1, b) if (a, j - 1) in best]
+            if options:
+                best[b, j] = min(options)
+    return min(v for (b, _), v in best.items() if b == len(lengths) - 1)
+
+
+def test_the_count_query_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    lengths = list(plain_lengths(spark, sf).values())
+    got = {r.context_limit: r for r in queries.op2_token_counts(spark, sf).collect()}
+    assert set(got) == set(lengths)
+    for c, r in got.items():
+        assert (r.n_docs, r.docs_within, r.docs_over) == (lengths.count(c), sum(n <= c for n in lengths), sum(n > c for n in lengths))
+        assert (r.tokens_within, r.truncated_total, r.total_tokens) == (sum(n for n in lengths if n <= c), sum(min(n, c) for n in lengths), sum(lengths))
+        assert abs(r.quantile - r.docs_within / len(lengths)) < 1e-12
+
+
+def test_the_packing_query_equals_brute_force(spark):
+    sf, longest, budget = "/root/testdata/sf0.001", 8192, 65536
+    lengths = plain_lengths(spark, sf)
+    rows = queries.op1_packing(spark, sf).collect()
+    want = {(i, p): min(longest, n - p * longest) for i, n in lengths.items() for p in range(max(1, -(-n // longest)))}
+    assert {(r.doc_id, r.piece): r.n_tokens for r in rows} == want and len(rows) == len(want)
+    full = [r for r in rows if r.n_tokens]
+    hist = {}
+    for r in full:
+        hist[r.n_tokens] = hist.get(r.n_tokens, 0) + 1
+    coarse = {}  # the same histogram in few lengths, so that all boundaries can be tried
+    for n, c in hist.items():
+        coarse[-(-n // 256) * 256] = coarse.get(-(-n // 256) * 256, 0) + c
+    at = sorted(coarse)
+    assert padding(at, [coarse[n] for n in at], packing.optimal_bounds(at, [coarse[n] for n in at], 16)) == plain_bounds(coarse, 16)
+    bounds = packing.optimal_bounds(sorted(hist), [hist[n] for n in sorted(hist)], 16)
+    batches = {}
+    for r in full:
+        assert r.pad_to == min(b for b in bounds if b >= r.n_tokens) and bounds[r.bucket] == r.pad_to
+        batches.setdefault((r.bucket, r.batch), []).append(r.slot)
+    for (bucket, batch), slots in batches.items():
+        per = max(1, budget // bounds[bucket])
+        last = (bucket, batch + 1) not in batches
+        assert sorted(slots) == list(range(len(slots))) and (len(slots) == per or last and len(slots) < per) and (batch == 0 or (bucket, batch - 1) in batches)
+
+
 def test_suffix_sums(spark):
     lengths = [0, 0, 3, 3, 3, 5000, 1024, 1023, 70_000]
     hist = token_counts.histogram(spark.createDataFrame([(n,) for n in lengths], "n_tokens int"))
