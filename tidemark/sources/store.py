@@ -49,13 +49,15 @@ class Files:
         fs.delete(p, True)
 
     def publish(self, staged: str, target: str) -> None:
-        """Put a folder that is written to its end in place of the target."""
+        """Put a folder in place of the target; _SUCCESS comes last, as a move is not one step in every file system."""
         fs, p = self._at(staged)
         to = self._path(target)
         fs.mkdirs(to.getParent())
+        fs.delete(self._path(f"{staged}/_SUCCESS"), False)
         fs.delete(to, True)
         if not fs.rename(p, to):
             raise OSError(f"can't move {staged} to {target}")
+        self.write_text(f"{target}/_SUCCESS", "")
 
     def read_text(self, path: str) -> str | None:
         fs, p = self._at(path)
@@ -202,7 +204,6 @@ class Store:
             for _, target, day in jobs:
                 part = f"{staged}/{SESSION}={day:%Y%m%d}"
                 if self.files.find(f"{part}/*"):
-                    self.files.write_text(f"{part}/_SUCCESS", "")
                     self.files.publish(part, target)
                     done.add(target)
         except Exception:  # noqa: BLE001
@@ -279,7 +280,6 @@ def write_sessions(df: DataFrame, path: str, dry_run: bool = False, index: str |
             some.repartition(len(new), SESSION).write.option("compression", "zstd").partitionBy(SESSION).parquet(staged)
             for day in new:
                 part = f"{staged}/{SESSION}={day:%Y%m%d}"
-                files.write_text(f"{part}/_SUCCESS", "")
                 files.publish(part, target[day])
         finally:
             files.delete(staged)
