@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from conftest import *  # noqa: F403
 from pyspark.sql import functions as F
 
@@ -106,6 +107,7 @@ def test_long_texts_make_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "HELD_SHINGLES", 300)
     monkeypatch.setattr(near_dedup, "SALTED", 3)
     monkeypatch.setattr(near_dedup, "CENTRAL", 2)
+    monkeypatch.setattr(near_dedup, "HOT_ROWS", 6)
     rows = families(4, 4, 14, 50)
     got = {r.doc_id: r.component for r in near_dedup.near_duplicates(docs_of(spark, rows), shingle=4).collect()}  # noqa: F405
     assert got == {i: c for i, (_, c) in jaccard_components(rows, 4).items()}
@@ -176,12 +178,14 @@ def test_components_of_a_path(spark):
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
 
 
-def test_hubs_are_the_members_nearest_to_the_majority(spark):
+@pytest.mark.parametrize("hot", [near_dedup.HOT_ROWS, 20])
+def test_hubs_are_the_members_nearest_to_the_majority(spark, monkeypatch, hot):
+    monkeypatch.setattr(near_dedup, "HOT_ROWS", hot)
     r = np.random.default_rng(1)
     sizes = [1, 2, 8, 9, 10, 40, 301]
     members = {node: [tuple(int(x) for x in r.integers(-(2**63), 2**63, 3)) for _ in range(n)] for node, n in enumerate(sizes)}
     rows = spark.createDataFrame([(node, *m) for node, ms in members.items() for m in ms], near_dedup.NODE)
-    got = {x.node: (x.size, x.hub.key) for x in near_dedup.hubs_of(rows).collect()}
+    got = {x.node: (x.size, x.hub.key) for x in near_dedup.hubs_of(rows, rows.count()).collect()}
     want = {}
     for node, ms in members.items():
         bits = np.array([[(v >> i) & 1 for v in m[1:] for i in range(64)] for m in ms])

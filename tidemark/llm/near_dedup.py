@@ -44,6 +44,8 @@ DEPTH = 10
 CENTRAL = 8
 #: Rows of nodes or families, and shingles of families, that are held at once, about.
 HELD_ROWS, HELD_SHINGLES = 1_000, 4_000_000
+#: Rows of a node above which it may go to its rows by broadcast, and how many such nodes there are at most.
+HOT_ROWS, HOT_NODES = 4_096, 100_000
 #: Members of a hub whose texts are held against one copy of the hub's.
 SALTED = 256
 #: Class ids up to which they are broadcast to the documents when texts are fetched.
@@ -285,9 +287,10 @@ def settle(trees: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFr
     most = most_differing(similarity)
     members = components(materialize(trees, "trees")).select("key", F.col("root").alias("node"))
     members = rooted(members.join(classes.select("key", "n", "s1", "s2"), "key"), labels)
-    members = mixed(members)
-    weights = members.groupBy("node").agg(F.sum("n").alias("weight"), F.sum(F.when(F.col("root") != F.col("main"), F.col("n")).otherwise(0)).alias("outside"))
-    members = materialize(members.join(weights, "node"), "families")
+    members = materialize(mixed(materialize(members, "rooted")), "mixed-families")
+    weights = members.groupBy("node").agg(F.first("size").alias("size"), F.sum("n").alias("weight"), F.sum(F.when(F.col("root") != F.col("main"), F.col("n")).otherwise(0)).alias("outside"))
+    weights = materialize(weights, "family-weights")
+    members = materialize(of_nodes(members.drop("size"), members.count(), weights), "families")
     is_small = (F.col("size") <= SMALL) & (F.col("weight") <= HELD_SHINGLES)
     is_few = ~is_small & (F.col("others") <= OTHERS) & (F.col("outside") <= HELD_SHINGLES)
     blocks = lambda rows: F.greatest(F.ceil(F.col("size") / rows), F.ceil(2 * F.col("weight") / HELD_SHINGLES)).cast("long")
@@ -394,28 +397,42 @@ def rooted(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(own, "key", "left").withColumn("root", F.coalesce("_root", "key")).drop("_root")
 
 
+def of_nodes(rows: DataFrame, n: int, nodes: DataFrame) -> DataFrame:
+    """The n rows joined to what is known of their nodes (stored: node, size, ...; a row a node).
+
+    A node of so many rows that it would weigh on one task goes to its rows instead of meeting them in a shuffle; there are HOT_NODES of them
+    at most, as each holds more than n / HOT_NODES rows.
+    """
+    limit = max(HOT_ROWS, n // HOT_NODES)
+    hot = F.broadcast(nodes.where(F.col("size") > limit))
+    rest = rows.join(hot.select("node"), "node", "left_anti").join(nodes.where(F.col("size") <= limit), "node")
+    return rest.unionByName(rows.join(hot, "node"))
+
+
 def mixed(rows: DataFrame) -> DataFrame:
-    """Rows of nodes with several components, with the node's size, its largest component and the rows outside that. rows: node, key, s1, s2, root."""
+    """Rows (stored) of nodes with several components, with the node's size, its largest component and the rows outside that. rows: node, key, s1, s2, root."""
     parts = rows.groupBy("node", "root").agg(F.count(F.lit(1)).alias("n"))
     sizes = parts.groupBy("node").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    return rows.join(sizes.select("node", "size", F.col("most.root").alias("main"), (F.col("size") - F.col("most.n")).alias("others")), "node")
+    sizes = materialize(sizes.select("node", "size", F.col("most.root").alias("main"), (F.col("size") - F.col("most.n")).alias("others")), "node-sizes")
+    return of_nodes(rows, rows.count(), sizes)
 
 
-def hubs_of(rows: DataFrame) -> DataFrame:
-    """node, size and hub (key, s1, s2) of nodes with several members: in large ones the member nearest to the majority of the sketches."""
+def hubs_of(rows: DataFrame, n: int) -> DataFrame:
+    """node, size and hub (key, s1, s2), stored, of nodes with several members: in large ones the member nearest to the majority of the sketches. rows: n of them, stored."""
     first = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("key", "s1", "s2")).alias("hub")).where("size > 1")
-    first = materialize(first, "hubs")
-    many = rows.join(first.where(F.col("size") > CENTRAL).select("node", "size"), "node")
+    first = materialize(first, "first-members")
+    large = first.where(F.col("size") > CENTRAL).select("node", "size")
 
     def majority(c: str):
         """The bits that more than half of the members have set; as one text, since 64 column objects take seconds to build."""
         return F.expr(" | ".join(f"if(2 * sum(cast(getbit({c}, {i}) as int)) > count(1), shiftleft(1L, {i}), 0L)" for i in range(64)))
 
-    centre = many.groupBy("node").agg(majority("s1").alias("m1"), majority("s2").alias("m2"))
+    centre = of_nodes(rows, n, large).groupBy("node").agg(F.first("size").alias("size"), majority("s1").alias("m1"), majority("s2").alias("m2"))
+    centre = materialize(centre, "majorities")
     off = differing(F.col("s1"), F.col("s2"), F.col("m1"), F.col("m2"))
-    best = many.join(centre, "node").groupBy("node").agg(F.first("size").alias("size"), F.min(F.struct(off.alias("off"), "key", "s1", "s2")).alias("b"))
+    best = of_nodes(rows, n, centre).groupBy("node").agg(F.first("size").alias("size"), F.min(F.struct(off.alias("off"), "key", "s1", "s2")).alias("b"))
     best = best.select("node", "size", F.struct("b.key", "b.s1", "b.s2").alias("hub"))
-    return first.where(F.col("size") <= CENTRAL).select("node", "size", "hub").unionByName(best)
+    return materialize(first.where(F.col("size") <= CENTRAL).select("node", "size", "hub").unionByName(best), "hubs")
 
 
 def near_duplicates(docs: DataFrame, *args, **kwargs) -> DataFrame:
@@ -440,14 +457,15 @@ def _near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     roots = [int(x) for x in mix(np.arange(1, trees + 1, dtype=np.uint64) * _BASE).view(np.int64)]
     rows = named.select("key", "s1", "s2", "tokens").mapInPandas(_branch(similarity, roots), NODE)
     rows = materialize(rows, "nodes")
-    rows = materialize(rows.join(hubs_of(rows), "node"), "shared-nodes")
+    n = rows.count()
+    rows = materialize(of_nodes(rows, n, hubs_of(rows, n)), "shared-nodes")
     near = differing(F.col("s1"), F.col("s2"), F.col("hub.s1"), F.col("hub.s2")) <= most
     stars = rows.where((F.col("key") != F.col("hub.key")) & near).select(F.col("hub.key").alias("a"), F.col("key").alias("b")).distinct()
     links = confirm(stars, classes, docs, shingle, similarity, id_col, text_col)
     labels = components(links)
 
-    left = mixed(rooted(rows.select("node", "key", "s1", "s2"), labels))
-    left = materialize(left, "mixed")
+    left = materialize(rooted(rows.select("node", "key", "s1", "s2"), labels), "rooted")
+    left = materialize(mixed(left), "mixed")
     pairs = []
     for depth in range(DEPTH + 1):
         small = left.where(F.col("size") <= SMALL).withColumn("tile", F.lit(0).cast("long"))
@@ -460,7 +478,7 @@ def _near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
             pairs.append(compare_nodes(tiles(large), most))
             break
         grown = large.select("node", "key").join(classes.select("key", "s1", "s2", "tokens"), "key").mapInPandas(_branch(similarity, None), NODE)
-        left = materialize(mixed(rooted(grown, labels)), "mixed")
+        left = materialize(mixed(materialize(rooted(grown, labels), "rooted")), "mixed")
     more = pairs[0]
     for p in pairs[1:]:
         more = more.unionByName(p)
