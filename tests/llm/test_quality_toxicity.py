@@ -141,7 +141,7 @@ class BruteForce:
 SHORT = ["moss moss mosaic slate", "moss slate slates", "river mosses ab", "éclair river moss", "extraordinarily slate", "extraordinary river", "moss slate slates"]
 
 
-def test_toxicity_model_equals_brute_force(spark):
+def test_toxicity_model_equals_brute_force(spark, monkeypatch):
     texts = [(t, i % 2) for i, t in enumerate(SHORT)]
     rows = spark.createDataFrame([(t, c, i % 3 % 2) for i, (t, c) in enumerate(dict.fromkeys(texts))], "text string, toxic int, half int")
     counts = toxicity.expression_counts(rows).cache()
@@ -157,8 +157,9 @@ def test_toxicity_model_equals_brute_force(spark):
     model = toxicity.KneserNey(toxicity.differences(counts).cache(), np.zeros(toxicity.N_FEATURES + 1), toxicity.MODEL_ROWS)
     new = [(1, "moss mosx moss zzz"), (2, "extraordinarilyish river slate"), (3, None), (4, "é éclairs ab abc a")]
     want = {i: Counter({w: n for w, n in Counter(x.decode() for x in toxicity.words(t)).items()}) for i, t in new}
-    for rows_held in (toxicity.MODEL_ROWS, 0):
+    for rows_held, head in ((toxicity.MODEL_ROWS, 0), (0, 0), (0, 3), (0, 1000)):
         model.model_rows = rows_held
+        monkeypatch.setattr(toxicity, "HEAD", head)
         for r in model.differences(docs_of(spark, new)).collect():  # noqa: F405
             found = r[inner("llr")]
             each = sorted((brute.difference(w) for w in want[r.doc_id]), reverse=True)

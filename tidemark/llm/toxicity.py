@@ -20,8 +20,9 @@ the number of words and by its root, and that of its PEAKS most toxic different
 one), as one insult in a long text weighs little in the whole. A logistic curve joins them, fitted on at most
 `sample` labelled documents, each scored by models counted without the half of the documents that it belongs to.
 
-The model is broadcast as arrays (16 bytes an expression) if it has at most `model_rows` expressions; above, the
-documents' words are joined to it by a shuffle (same scores, no size bound).
+The model is broadcast as arrays (16 bytes an expression) if it has at most `model_rows` expressions. Above, the differences of its
+most frequent words, HEAD at most, are broadcast instead, and only the documents' other words are joined to the model by a
+shuffle (same scores, no size bound).
 
 Defined results: null texts and texts without words have differences of 0 and length 0; ids labelled both
 ways or null are not learnt from; every different text of a repeated id is; without labels of both kinds the
@@ -47,6 +48,8 @@ LONGEST = 8
 PEAKS = (1, 2, 3, 5, 8)
 SAMPLE = 20_000
 MODEL_ROWS = 4_000_000
+#: Words of a larger model that are broadcast.
+HEAD = 2_000_000
 #: Labelled ids up to which the ids are broadcast to the documents.
 KNOWN_ROWS = 2_000_000
 #: Share of a class's texts that either half holds at least where near copies share a half.
@@ -154,13 +157,13 @@ def conditionals(counts: DataFrame) -> DataFrame:
         s = F.try_divide(F.greatest(a + b - SHARED_DISCOUNT, F.lit(0.0)) + m["s"] * F.col(f"u_{k}"), n["s"])
         p = lambda c, v: F.coalesce(F.try_divide(F.greatest(v - DISCOUNT, F.lit(0.0)) + m[c] * s, n[c]), s)  # noqa: E731, B023
         out += [F.when(a + b > 0, F.log(p(c, v))).alias(f"{c}_{k}") for c, v in (("t", a), ("o", b))]
-    return rows.select("e", "h", "x", *out)
+    return rows.select("e", "h", "x", (F.col("t0") + F.col("t1") + F.col("o0") + F.col("o1")).alias("n"), *out)
 
 
 def differences(counts: DataFrame) -> DataFrame:
-    """e and, for each of KINDS, d_ (log P(x | toxic, h) - log P(x | ordinary, h) of its last symbol; null where unseen) and
+    """e, n (its count) and, for each of KINDS, d_ (log P(x | toxic, h) - log P(x | ordinary, h) of its last symbol; null where unseen) and
     v_ (the same of any unseen symbol after it). A row with e = "" holds v_ of the first letter."""
-    own = conditionals(counts).select("e", *[(F.col(f"t_{k}") - F.col(f"o_{k}")).alias(f"d_{k}") for k in KINDS])
+    own = conditionals(counts).select("e", "n", *[(F.col(f"t_{k}") - F.col(f"o_{k}")).alias(f"d_{k}") for k in KINDS])
     share = lambda c, k: F.coalesce(F.log(F.try_divide(f"m{c}_{k}", f"n{c}_{k}")), F.lit(0.0))
     after = history_sums(counts).select(F.col("h").alias("e"), *[(share("t", k) - share("o", k)).alias(f"v_{k}") for k in KINDS])
     return own.join(after, "e", "full")
@@ -257,12 +260,46 @@ def _scorer(shared):
     return run
 
 
-def _split_words(frames):
+def _hashed(frames):
     for pdf in frames:
-        for row, text in zip(pdf["_row"], pdf["text"]):
-            counts = Counter(words(text))
-            if counts:
-                yield pd.DataFrame({"_row": row, "word": [w.decode("utf-8", "replace") for w in counts], "c": list(counts.values())})
+        yield pd.DataFrame({"e": np.array([hash_of(w.encode("utf-8")) for w in pdf["word"]], np.uint64).view(np.int64), "d": pdf["d"]})
+
+
+class Head:
+    """Differences of frequent words, by hash; NaN for other words."""
+
+    def __init__(self, keys: np.ndarray, d: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.d = keys[order], d[order]
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        h = np.fromiter((hash_of(w) for w in words), np.uint64, len(words))
+        if not len(self.keys):
+            return np.full(len(words), np.nan)
+        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        return np.where(self.keys[at] == h, self.d[at], np.nan)
+
+
+def _split_words(shared):
+    """For each row the sum and the best of its frequent words (word is null, c: all its words), and a row for each other word."""
+
+    def run(frames):
+        head = shared.value
+        for pdf in frames:
+            out: list[tuple] = []
+            for row, text in zip(pdf["_row"].tolist(), pdf["text"]):
+                counts = Counter(words(text))
+                if not counts:
+                    continue
+                own, times = list(counts), np.fromiter(counts.values(), np.float64, len(counts))
+                d = head.of(own)
+                known = ~np.isnan(d)
+                best = -np.sort(-d[known])[: PEAKS[-1]]
+                out.append((row, None, sum(counts.values()), float((d[known] * times[known]).sum()), best.tolist()))
+                out += [(row, own[i].decode("utf-8", "replace"), counts[own[i]], 0.0, []) for i in np.flatnonzero(~known).tolist()]
+            yield pd.DataFrame(out, columns=["_row", "word", "c", "d", "best"])
+
+    return run
 
 
 class KneserNey:
@@ -296,23 +333,48 @@ class KneserNey:
             return docs.withColumn(inner("llr"), _scorer(self.shared(kind))(F.col(text_col)))
         return self._joined(docs, kind, text_col)
 
+    def of_words(self, words: DataFrame, kind: str) -> DataFrame:
+        """word and d, its difference, of words that begin like one of the model's. words: word, each once."""
+        model = self.table.select("e", F.col(f"d_{kind}").alias("d"), F.col(f"v_{kind}").alias("v")).where("e <> ''")
+        parts = words.select("word", F.posexplode(symbols(F.col("word"))).alias("k", "s")).select("word", "k", "s.e").join(model, "e")
+        known = parts.where("d is not null").groupBy("word").agg(F.sum("d").alias("d"), F.count(F.lit(1)).alias("k"), F.max_by(F.coalesce("v", F.lit(0.0)), "k").alias("v"))
+        length = F.least(F.length("word"), F.lit(LONGEST)) + 1
+        return known.select("word", (F.col("d") + F.when(F.col("k") < length, F.col("v")).otherwise(0.0)).alias("d"))
+
+    def head(self, kind: str) -> Head:
+        """The most frequent whole words, HEAD at most: those of a count that no more words reach."""
+        whole = self.table.where(F.col("e").endswith("$"))
+        have, least = 0, None
+        for r in whole.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():  # a row a count that occurs
+            have += r["count"]
+            if have > HEAD:
+                break
+            least = r["n"]
+        if least is None:
+            return Head(np.zeros(0, np.uint64), np.zeros(0))
+        frequent = whole.where(F.col("n") >= least).select(F.expr("substring(e, 1, length(e) - 1)").alias("word"))
+        got = self.of_words(frequent, kind).mapInPandas(_hashed, "e long, d double").toArrow()
+        return Head(got["e"].to_numpy().view(np.uint64), got["d"].to_numpy())
+
     def _joined(self, docs: DataFrame, kind: str, text_col: str) -> DataFrame:
         row = inner("row")
         rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "toxicity-rows")
-        used = rows.select(F.col(row).alias("_row"), F.col(text_col).alias("text")).mapInPandas(_split_words, "_row long, word string, c long")
+        sent = docs.sparkSession.sparkContext.broadcast(self.head(kind))
+        used = rows.select(F.col(row).alias("_row"), F.col(text_col).alias("text")).mapInPandas(_split_words(sent), "_row long, word string, c long, d double, best array<double>")
         with batches(docs.sparkSession):
             used = materialize(used, "toxicity-words")
-        model = self.table.select("e", F.col(f"d_{kind}").alias("d"), F.col(f"v_{kind}").alias("v")).where("e <> ''")
-        parts = used.select("word").distinct().select("word", F.posexplode(symbols(F.col("word"))).alias("k", "s")).select("word", "k", "s.e").join(model, "e")
-        known = parts.where("d is not null").groupBy("word").agg(F.sum("d").alias("d"), F.count(F.lit(1)).alias("k"), F.max_by(F.coalesce("v", F.lit(0.0)), "k").alias("v"))
-        length = F.least(F.length("word"), F.lit(LONGEST)) + 1
-        by_word = known.select("word", (F.col("d") + F.when(F.col("k") < length, F.col("v")).otherwise(0.0)).alias("d"))
-        each = used.join(by_word, "word", "left").withColumn("d", F.coalesce("d", F.lit(self.first(kind))))
-        best = Window.partitionBy("_row").orderBy(F.desc("d"))
-        sums = each.groupBy("_row").agg(F.sum(F.col("c") * F.col("d")).alias("llr"), F.sum("c").alias("n"))
-        top = each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= PEAKS[-1])
-        top = top.groupBy("_row").agg(F.array(*[F.coalesce(F.max(F.when(F.col("rank") == k, F.col("d"))), F.lit(0.0)) for k in PEAKS]).alias("peaks"))
-        found = sums.join(top, "_row").select(F.col("_row").alias(row), F.struct("llr", "n", "peaks").alias(inner("llr")))
+        sent.unpersist()
+        others = used.where("word is not null").select("_row", "word", "c")
+        by_word = self.of_words(others.select("word").distinct(), kind)
+        each = others.join(by_word, "word", "left").withColumn("d", F.coalesce("d", F.lit(self.first(kind))))
+        sums = each.groupBy("_row").agg(F.sum(F.col("c") * F.col("d")).alias("more"))
+        ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("_row").orderBy(F.desc("d")))).where(F.col("rank") <= PEAKS[-1])
+        top = ranked.groupBy("_row").agg(F.collect_list("d").alias("top"))
+        whole = used.where("word is null").join(sums, "_row", "left").join(top, "_row", "left")
+        best = F.sort_array(F.concat("best", F.coalesce("top", F.array().cast("array<double>"))), asc=False)
+        found = whole.select(F.col("_row").alias(row), (F.col("d") + F.coalesce("more", F.lit(0.0))).alias("llr"), F.col("c").alias("n"), best.alias("best"))
+        peaks = F.array(*[F.coalesce(F.get("best", F.lit(k - 1)), F.lit(0.0)) for k in PEAKS])
+        found = found.select(row, F.struct("llr", "n", peaks.alias("peaks")).alias(inner("llr")))
         none = F.struct(F.lit(0.0).alias("llr"), F.lit(0).cast("long").alias("n"), F.array(*[F.lit(0.0)] * len(PEAKS)).alias("peaks"))
         return rows.join(found, row, "left").withColumn(inner("llr"), F.coalesce(F.col(inner("llr")), none)).drop(row)
 
