@@ -272,30 +272,28 @@ def unions(each: DataFrame) -> DataFrame:
     return whole.withColumn("after", after).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("after", "start", "end", "kind"))).alias("cuts"))
 
 
-def masked(text: Column, cuts: Column) -> Column:
-    """The text with the cuts of unions() replaced by their kinds in angle brackets. Works on blocks of the text, in proportion to it."""
-    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+def blocks_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
 
-    def between(b: Column, low: Column, high: Column) -> Column:
-        """Code points low to high - 1 of blocks b."""
+
+def masked(blocks: Column, cuts: Column) -> Column:
+    """The text with the cuts of unions() replaced by their kinds in angle brackets. blocks: a column of blocks_of() the text, so that this takes time in proportion to it."""
+
+    def between(low: Column, high: Column) -> Column:
+        """Code points low to high - 1."""
         first, last = F.floor(low / BLOCK).cast("int"), F.floor(high / BLOCK).cast("int")
-        inside = F.array_join(F.slice(b, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
-        head = F.coalesce(F.substring(F.get(b, first), low % BLOCK + 1, F.when(first == last, high - low).otherwise(F.lit(BLOCK))), F.lit(""))
-        tail = F.when(last > first, F.coalesce(F.substring(F.get(b, last), F.lit(1), high % BLOCK), F.lit(""))).otherwise("")
+        inside = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        head = F.coalesce(F.substring(F.get(blocks, first), low % BLOCK + 1, F.when(first == last, high - low).otherwise(F.lit(BLOCK))), F.lit(""))
+        tail = F.when(last > first, F.coalesce(F.substring(F.get(blocks, last), F.lit(1), high % BLOCK), F.lit(""))).otherwise("")
         return F.concat(head, inside, tail)
 
-    def whole(b: Column) -> Column:
-        parts = F.transform(cuts, lambda c: F.concat(between(b, c["after"], c["start"]), F.lit("<"), c["kind"], F.lit(">")))
-        end = F.element_at(cuts, -1)["end"]
-        return F.concat(F.array_join(parts, ""), between(b, end, F.size(b) * BLOCK))
-
-    # the outer transform names the blocks, so that they are cut once
-    return F.get(F.transform(F.array(blocks), whole), F.lit(0))
+    parts = F.transform(cuts, lambda c: F.concat(between(c["after"], c["start"]), F.lit("<"), c["kind"], F.lit(">")))
+    return F.concat(F.array_join(parts, ""), between(F.element_at(cuts, -1)["end"], F.size(blocks) * BLOCK))
 
 
 def redact(docs: DataFrame, broadcast_rows: int, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """docs with all spans masked and chars_col, if there, the new length. Texts without spans (and null ones) stay as they are."""
-    digest, name, own, cuts = inner("hash"), inner("id"), inner("own"), inner("cuts")
+    digest, name, own, cuts, blocks = inner("hash"), inner("id"), inner("own"), inner("cuts"), inner("blocks")
     hashed = docs.withColumn(digest, F.xxhash64(text_col))
     keyed = hashed.select(F.struct(F.col(id_col).alias("id"), F.col(digest).alias("hash")).alias("key"), F.col(text_col).alias("text"))
     rows, each = span_rows(keyed, SUPPORT, CONFIDENCE, "key", "text")
@@ -303,7 +301,9 @@ def redact(docs: DataFrame, broadcast_rows: int, id_col: str = "doc_id", text_co
     few = materialize(found.dropDuplicates([name, own]), "pii-spans")
     few = F.broadcast(few) if few.count() <= broadcast_rows else few
     joined = hashed.join(few, F.col(id_col).eqNullSafe(F.col(name)) & (F.col(digest) == F.col(own)), "left")
-    text = F.when(F.col(cuts).isNull(), F.col(text_col)).otherwise(masked(F.col(text_col), F.col(cuts)))
+    # a generated column is computed once, whatever is done with the text
+    joined = joined.withColumn(blocks, F.explode_outer(F.array(F.when(F.col(cuts).isNotNull(), blocks_of(F.col(text_col))))))
+    text = F.when(F.col(cuts).isNull(), F.col(text_col)).otherwise(masked(F.col(blocks), F.col(cuts)))
     out = joined.withColumn(text_col, text)
     if chars_col in docs.columns:
         out = out.withColumn(chars_col, F.when(F.col(cuts).isNull(), F.col(chars_col)).otherwise(F.length(text_col).cast("long")))
