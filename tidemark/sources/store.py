@@ -134,8 +134,8 @@ class Store:
     def ingest(self, name: str, dates: list[dt.date] | None = None, delete_source: bool = False) -> dict[str, int]:
         """Write what is new. {ingested, skipped, errors, bytes_written, bytes_freed}; a bad file does not stop the others.
 
-        Sessions of a month are one job: each is a partition of what is staged beside the store, sorted and in one file, and is moved into
-        place when all is written, so a target is either whole or as it was. Where a job fails its sessions are tried one by one.
+        Sessions of a month are one job without a shuffle: each is a partition of what is staged beside the store, its rows sorted as they were
+        read, and is moved into place when all is written, so a target is either whole or as it was. Where a job fails its sessions are tried one by one.
         """
         d = self.catalog.get(name)
         stats = dict.fromkeys(("ingested", "skipped", "errors", "bytes_written", "bytes_freed"), 0)
@@ -199,7 +199,7 @@ class Store:
         try:
             raw = self._read(d, [source for source, _, _ in jobs])
             held = raw.withColumn(SESSION, F.regexp_extract(F.col("_metadata.file_path"), SESSION_OF, 1))
-            rows = conform(held, d, also=[SESSION]).repartition(len(jobs), SESSION).sortWithinPartitions(SESSION, *self._order(d))
+            rows = conform(held, d, also=[SESSION]).sortWithinPartitions(SESSION, *self._order(d))
             rows.write.option("compression", "zstd").partitionBy(SESSION).parquet(staged)
             for _, target, day in jobs:
                 part = f"{staged}/{SESSION}={day:%Y%m%d}"
