@@ -47,7 +47,7 @@ HELD_ROWS, HELD_SHINGLES = 1_000, 4_000_000
 #: Rows of a node above which it may go to its rows by broadcast, and how many such nodes there are at most.
 HOT_ROWS, HOT_NODES = 4_096, 100_000
 #: Members of a hub whose texts are held against one copy of the hub's.
-SALTED = 256
+SALTED = 32
 #: Class ids up to which they are broadcast to the documents when texts are fetched.
 FETCH_ROWS = 2_000_000
 MEMO = 400_000
