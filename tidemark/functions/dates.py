@@ -32,3 +32,8 @@ def months(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     first = F.explode(F.sequence(F.trunc(F.lit(start), "month"), F.lit(end), F.expr("interval 1 month")))
     rows = spark.range(1).select(first.alias("m"))
     return rows.select(F.date_format("m", "yyyy_MM").alias("month"), F.greatest(F.col("m"), F.lit(start)).alias("start"), F.least(F.last_day("m"), F.lit(end)).alias("end"))
+
+
+def as_text(c: Column) -> Column:
+    """A time as YYYY-MM-DD HH:MM:SS."""
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")

@@ -19,6 +19,11 @@ def outer(frames: list[DataFrame], on: str = "timestamp") -> DataFrame:
     return reduce(lambda a, b: a.join(b, on, "full"), frames)
 
 
+def inner(frames: list[DataFrame], on: str = "timestamp") -> DataFrame:
+    """Rows whose key all frames have."""
+    return reduce(lambda a, b: a.join(b, on), frames)
+
+
 def attach_daily(df: DataFrame, daily: DataFrame, index: str = "timestamp", date: str = "date") -> DataFrame:
     """Left join of daily rows (one a date) by the date of the index. A few thousand rows at most, so Spark broadcasts them by their size."""
     own = daily.withColumnRenamed(date, "_date")

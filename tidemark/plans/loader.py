@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.align import attach_daily, outer, prefixed
+from tidemark.operators.align import attach_daily, inner, outer, prefixed
 from tidemark.operators.bars import daily_last, resample_ohlc
 from tidemark.operators.lag import feature_lag, session_lag
 from tidemark.operators.rules import apply_rules
@@ -119,7 +119,7 @@ def store_regime(loader: Loader, x: str = "vix_ohlc", y: str = "vvix_ohlc", name
     """Build the daily regime from all stored closes, as they were stored, and write it. Rows written."""
     whole = (dt.date(1900, 1, 1), dt.date(2199, 12, 31))
     last = lambda n, c: daily_last(loader.load(n, whole, clean=False, sort=False), "close").withColumnRenamed("close", c)
-    rows = regime.build(last(x, "vix").join(last(y, "vvix"), "date"))
+    rows = regime.build(inner([last(x, "vix"), last(y, "vvix")], "date"))
     d = loader.catalog.get(name)
     rows.select(*d.columns).coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(f"{loader.top}/{d.store_path}")
     return loader.spark.read.parquet(f"{loader.top}/{d.store_path}").count()

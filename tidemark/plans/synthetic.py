@@ -82,6 +82,12 @@ def index_bars(path: DataFrame) -> DataFrame:
     return bars.select("date", "timestamp", *[F.col(c).cast("float").alias(c) for c in ("open", "high", "low", "close")])
 
 
+def strikes_around(at: DataFrame, price: str, steps: int, step: float) -> DataFrame:
+    """at with strike and right: a row for each of `steps` strikes on either side of the price's nearest, and each right."""
+    strikes = at.withColumn("_i", F.explode(F.sequence(F.lit(-steps), F.lit(steps)))).withColumn("strike", F.round(F.col(price) / step) * step + step * F.col("_i")).drop("_i")
+    return strikes.withColumn("right", F.explode(F.array(F.lit("CALL"), F.lit("PUT"))))
+
+
 def chain(spot: DataFrame, vix: DataFrame, spec: Spec, dte: int) -> DataFrame:
     """Option chain that expires `dte` business days on, with Greeks; the opening minute has no underlying and an overflowing volatility, and a
     minute of the first session an expiry of 1882."""
@@ -90,8 +96,7 @@ def chain(spot: DataFrame, vix: DataFrame, spec: Spec, dte: int) -> DataFrame:
         expiry = dates.next_business_day(expiry)
     minutes = spot.join(vix.select("timestamp", (F.col("value") / 100).alias("base")), "timestamp")
     centre = spot.groupBy("date").agg(F.min_by("value", "timestamp").alias("first")).select("date", (F.round(F.col("first") / spec.step) * spec.step).alias("centre"))
-    rows = carried(minutes, centre).withColumn("i", F.explode(F.sequence(F.lit(-spec.steps), F.lit(spec.steps)))).withColumn("strike", F.col("centre") + spec.step * F.col("i"))
-    rows = rows.withColumn("right", F.explode(F.array(F.lit("CALL"), F.lit("PUT"))))
+    rows = strikes_around(carried(minutes, centre), "centre", spec.steps, spec.step)
     minute = (F.hour("timestamp") * 60 + F.minute("timestamp")) - 570
     years = (F.datediff(expiry, F.col("date")) * 1440 + MINUTES - minute) / F.lit(YEAR_DAYS * 1440)
     rows = rows.withColumn("implied_vol", pricing.smile(F.col("value"), F.col("strike"), years, F.col("base")))
@@ -115,7 +120,7 @@ def chain(spot: DataFrame, vix: DataFrame, spec: Spec, dte: int) -> DataFrame:
         F.lit(0.0).cast("float").alias("epsilon"),
         F.when(opening, 21474.8).otherwise(F.col("implied_vol")).cast("float").alias("implied_vol"),
         F.when(opening, -0.99999).otherwise(0.0).cast("float").alias("iv_error"),
-        F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("underlying_timestamp"),
+        dates.as_text(F.col("timestamp")).alias("underlying_timestamp"),
         F.when(opening, 0.0).otherwise(F.col("value")).cast("float").alias("underlying_price"),
     )
 

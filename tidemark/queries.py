@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import dates, pricing
 from tidemark.operators import bars, lag
-from tidemark.operators.align import attach_daily, outer, prefixed
+from tidemark.operators.align import attach_daily, inner, outer, prefixed
 from tidemark.operators.rules import apply_rules, forward_fill, rules_of
 from tidemark.plans import fetching, lake, quality, regime, synthetic, views
 from tidemark.plans.loader import PointInTimeLoader, enforce
@@ -376,7 +376,7 @@ def pit_aligned(spark, d):
 @query(", v AS (SELECT date, vix FROM daily), w AS (SELECT date, vvix FROM daily WHERE vvix > 200000) SELECT date, vix, vvix, vvix / vix AS ratio FROM v JOIN w USING (date)", "daily")
 def inner_join_daily(spark, d):
     df = views.daily(spark, d)
-    both = df.select("date", "vix").join(df.where("vvix > 200000").select("date", "vvix"), "date")
+    both = inner([df.select("date", "vix"), df.where("vvix > 200000").select("date", "vvix")], "date")
     return both.withColumn("ratio", F.try_divide(F.col("vvix"), F.col("vix")))
 
 
@@ -430,14 +430,7 @@ def minute_grid(spark, d):
 )
 def chain_explode(spark, d):
     at = views.quotes(spark, d).where("year(timestamp) = 1995 and underlying_price > 0").select("timestamp", F.col("underlying_price").alias("s")).distinct()
-    return option_chain(at, steps=2, step=5)
-
-
-def option_chain(at: DataFrame, steps: int, step: float) -> DataFrame:
-    """timestamp, s -> a row for each strike around s and each right."""
-    strikes = at.withColumn("_i", F.explode(F.sequence(F.lit(-steps), F.lit(steps))))
-    strikes = strikes.withColumn("strike", F.round(F.col("s") / step) * step + step * F.col("_i")).drop("_i")
-    return strikes.withColumn("right", F.explode(F.array(F.lit("CALL"), F.lit("PUT"))))
+    return synthetic.strikes_around(at, "s", steps=2, step=5)
 
 
 # calendars, ingestion
@@ -488,7 +481,7 @@ def coerced_cast(spark, d):
 
 @query("SELECT event_id, strftime(date_trunc('second', \"timestamp\"), '%Y-%m-%d %H:%M:%S') AS at FROM ticks", "ticks")
 def timestamp_text(spark, d):
-    return views.ticks(spark, d).select("event_id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("at"))
+    return views.ticks(spark, d).select("event_id", dates.as_text(F.col("timestamp")).alias("at"))
 
 
 # data checks
