@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -172,6 +173,39 @@ def test_overlaps_and_forest():
     assert sorted(zip(i.tolist(), j.tolist())) == [(0, 3), (0, 5), (1, 2)]
 
 
+def peak_mb(f):
+    tracemalloc.start()
+    try:
+        out = f()
+        return out, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_overlaps_of_large_sets_in_ranges():
+    r = np.random.default_rng(4)
+    every = np.unique(r.integers(0, 2**64, 60_000, dtype=np.uint64))
+    sets = [np.sort(r.choice(every, 50_000 - 500 * i, replace=False)) for i in range(40)]
+    both, peak = peak_mb(lambda: near_dedup.overlaps(sets))
+    assert peak < 60  # 39; 80 when all are sorted at once
+    assert all(both[a, b] == len(np.intersect1d(sets[a], sets[b])) for a, b in ((0, 1), (0, 39), (39, 0), (17, 23), (5, 5)))
+
+
+def test_the_largest_tile_takes_little_memory():
+    """A family of OTHERS texts outside a block of the largest component, which both Python workers of an executor may hold at once."""
+    n = near_dedup.SMALL + near_dedup.OTHERS
+    r = np.random.default_rng(5)
+    texts = [f"{prose(i // 2, 30)} {i % 2}" for i in range(n)]  # noqa: F405
+    sketch = np.repeat(r.integers(0, 2**62, 2), n // 2)
+    pdf = pd.DataFrame({"node": 1, "tile": 0, "key": np.arange(n), "s1": sketch, "s2": sketch, "root": np.arange(n), "text": texts})
+    near_dedup.shingles(" ".join(texts), 4)  # the words' hashes are kept
+    got, peak = peak_mb(lambda: near_dedup._settle(4, 0.8, 33)(pdf))
+    assert sorted(zip(got["a"], got["b"])) == [(i, i + 1) for i in range(0, n, 2)]
+    assert peak < 110  # 60; 224 when all pairs are worked out at once
+    spans, peak = peak_mb(lambda: near_dedup._compare(33)(pdf.drop(columns="text")))
+    assert len(spans) == n - 2 and peak < 40  # 13; 72
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
     got = {r.key: r.root for r in near_dedup.components(links).collect()}

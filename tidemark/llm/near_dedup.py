@@ -44,6 +44,8 @@ DEPTH = 10
 CENTRAL = 8
 #: Rows of nodes or families, and shingles of families, that are held at once, about.
 HELD_ROWS, HELD_SHINGLES = 1_000, 4_000_000
+#: Rows whose pairs with all others of a tile are worked out at once, and shingles that are intersected at once, about.
+BLOCK, RANGE = 128, 500_000
 #: Rows of a node above which it may go to its rows by broadcast, and how many such nodes there are at most.
 HOT_ROWS, HOT_NODES = 4_096, 100_000
 #: Members of a hub whose texts are held against one copy of the hub's.
@@ -201,10 +203,18 @@ def groups_of(*columns: np.ndarray):
     return list(zip(starts.tolist(), np.r_[starts[1:], n].astype(int).tolist()))
 
 
+def in_blocks(n: int):
+    """Runs of at most BLOCK of n rows, so that what is worked out for pairs takes BLOCK x n at a time."""
+    return [slice(a, min(n, a + BLOCK)) for a in range(0, n, BLOCK)]
+
+
 def allowed(s1: np.ndarray, s2: np.ndarray, root: np.ndarray, most: int) -> np.ndarray:
     """Pairs across components whose sketches differ by at most `most` bits."""
-    d = np.bitwise_count(s1[:, None] ^ s1[None, :]).astype(np.int16) + np.bitwise_count(s2[:, None] ^ s2[None, :])
-    return (d <= most) & (root[:, None] != root[None, :])
+    out = np.zeros((len(s1), len(s1)), bool)
+    for b in in_blocks(len(s1)):
+        d = np.bitwise_count(s1[b, None] ^ s1[None, :]).astype(np.int16) + np.bitwise_count(s2[b, None] ^ s2[None, :])
+        out[b] = (d <= most) & (root[b, None] != root[None, :])
+    return out
 
 
 def _compare(most: int):
@@ -235,25 +245,40 @@ def compare_nodes(rows: DataFrame, most: int) -> DataFrame:
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections, exactly, by products of 0/1 matrices over the shingles that several sets hold."""
+    """Sizes of all intersections of sorted sets, exactly, by products of 0/1 matrices over the shingles that several sets hold, a range of hashes at a time."""
     n = len(sets)
-    values, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(n), [len(x) for x in sets])
-    shared = counts[at] > 1
-    number = np.cumsum(counts > 1) - 1
-    at, owner = number[at[shared]], owner[shared]
-    order = np.argsort(at, kind="stable")
-    at, owner = at[order], owner[order]
-    out = np.zeros((n, n))
+    out = np.zeros((n, n), np.int32)
+    ranges = max(1, -(-sum(map(len, sets)) // RANGE))
+    edges = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
+    cuts = [np.r_[0, np.searchsorted(s, edges), len(s)] for s in sets]
     width = max(256, 2_000_000 // n)
-    for low in range(0, int(at[-1]) + 1 if len(at) else 0, width):
-        a, b = np.searchsorted(at, [low, low + width])
-        m = np.zeros((n, width), np.float32)
-        m[owner[a:b], at[a:b] - low] = 1
-        out += m @ m.T
+    for i in range(ranges):
+        parts = [s[c[i] : c[i + 1]] for s, c in zip(sets, cuts)]
+        values, at, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(n), [len(x) for x in parts])
+        shared = counts[at] > 1
+        number = np.cumsum(counts > 1) - 1
+        at, owner = number[at[shared]], owner[shared]
+        order = np.argsort(at, kind="stable")
+        at, owner = at[order], owner[order]
+        for low in range(0, int(at[-1]) + 1 if len(at) else 0, width):
+            a, b = np.searchsorted(at, [low, low + width])
+            m = np.zeros((n, width), np.float32)
+            m[owner[a:b], at[a:b] - low] = 1
+            for rows in in_blocks(n):
+                out[rows] += (m[rows] @ m.T).astype(np.int32)
     return out
 
 
+def linking(able: np.ndarray, sets: list[np.ndarray], whole: int) -> np.ndarray:
+    """Of the pairs that are able, those whose intersection is `whole` hundredths of their union, or more."""
+    sizes = np.array([len(x) for x in sets])
+    both = overlaps(sets)
+    for b in in_blocks(len(sets)):
+        able[b] &= (100 + whole) * both[b].astype(np.int64) >= whole * (sizes[b, None] + sizes[None, :])
+    return able
+
+
 def _settle(k: int, similarity: float, most: int):
     whole = round(similarity * 100)
 
@@ -268,10 +293,7 @@ def _settle(k: int, similarity: float, most: int):
             if not len(used):
                 continue
             sets = [shingles(t, k) for t in pdf["text"].iloc[a + used]]
-            sizes = np.array([len(x) for x in sets])
-            both = overlaps(sets)
-            linked = able[np.ix_(used, used)] & (100 * both >= whole * (sizes[:, None] + sizes[None, :] - both))
-            i, j = forest(linked)
+            i, j = forest(linking(able[np.ix_(used, used)], sets, whole))
             found.append((key[a + used[i]], key[a + used[j]]))
         return pd.DataFrame({"a": np.concatenate([x[0] for x in found]), "b": np.concatenate([x[1] for x in found])}).drop_duplicates()
 
